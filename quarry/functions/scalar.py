@@ -25,7 +25,10 @@ UNIT_SEPARATOR = "\u001f"
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 _WS = r"(?U)\s+"
-_EDGE_WS = r"(?U)^\s+|\s+$"
+
+# --- fixed values: characters of the Unicode White_Space property (what ``(?U)\s`` matches)
+WHITESPACE = ("\t\n\u000b\u000c\r \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+              "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def as_col(c) -> Column:
@@ -35,12 +38,15 @@ def as_col(c) -> Column:
 def norm_label(c) -> Column:
     """Null to "", upper case, every whitespace run (Unicode aware) to one space, trimmed."""
     collapsed = F.regexp_replace(F.upper(F.coalesce(as_col(c), F.lit(""))), _WS, " ")
-    return F.regexp_replace(collapsed, r"^ | $", "")
+    return F.btrim(collapsed, F.lit(" "))
 
 
 def strip(c) -> Column:
-    """Remove leading and trailing whitespace of any kind (tabs and no-break spaces too)."""
-    return F.regexp_replace(as_col(c), _EDGE_WS, "")
+    """Remove leading and trailing whitespace of any kind (tabs and no-break spaces too).
+
+    A character-set trim: no regular expression is evaluated per row.
+    """
+    return F.btrim(as_col(c), F.lit(WHITESPACE))
 
 
 def drop_commas(c) -> Column:

@@ -126,9 +126,13 @@ def reason_list(df: DataFrame, spec: TableSpec) -> tuple[list[Column], list[Colu
 
 
 def join_reasons(reasons: Sequence[Column]) -> Column:
-    """Non-null reasons, distinct, code-point sorted, joined by "; "; null when none."""
-    arr = F.array_sort(F.array_distinct(F.filter(F.array(*reasons), lambda x: x.isNotNull())))
-    return F.when(F.size(arr) > 0, F.array_join(arr, "; "))
+    """Non-null reasons, distinct, code-point sorted, joined by "; "; null when none.
+
+    Built without lambda functions (``sort_array`` + ``concat_ws``, which skips nulls) so
+    the whole expression stays inside whole-stage code generation.
+    """
+    joined = F.concat_ws("; ", F.sort_array(F.array_distinct(F.array(*reasons))))
+    return F.nullif(joined, F.lit(""))
 
 
 def validate(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -137,8 +141,13 @@ def validate(df: DataFrame, spec: TableSpec) -> DataFrame:
     typed, reasons = reason_list(df, spec)
     meta = [F.col(c) for c in df.columns if c.startswith(spec.meta_prefix) and c not in spec.names]
     # reasons are computed on the raw frame (so a failed coercion is visible), then the
-    # typed values replace the raw ones in the same projection
-    return df.select(*typed, *meta, join_reasons(reasons).alias(REASONS))
+    # typed values replace the raw ones in the same projection.
+    # The always-true partition-id guard makes this projection non-deterministic, which
+    # stops Catalyst from pushing later filters on ``_reasons`` below it: otherwise every
+    # parse expression would be inlined into the filter many times over and evaluated
+    # repeatedly per row. With the guard each typed value is computed once.
+    once = F.when(F.spark_partition_id() >= 0, join_reasons(reasons))
+    return df.select(*typed, *meta, once.alias(REASONS))
 
 
 def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

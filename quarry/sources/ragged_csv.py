@@ -43,7 +43,7 @@ def parse_ragged_lines(lines: DataFrame, columns: Sequence[str], line_col: str =
         F.concat(F.slice(fields, 1, n - 1),
                  F.array(F.array_join(F.slice(fields, F.lit(n), size - F.lit(n - 1)), ","))),
     ).otherwise(fields)
-    blank = F.forall(fields, lambda x: F.regexp_replace(x, r"(?U)\s", "") == "")
+    blank = F.regexp_replace(F.array_join(fields, ""), r"(?U)\s", "") == ""
     return (lines.select(*keep, folded.alias("_f"), blank.alias("_blank"))
             .filter(~F.col("_blank"))
             .select(*keep, *[F.get(F.col("_f"), i).alias(c) for i, c in enumerate(columns)]))
