@@ -131,6 +131,7 @@ def land(spark: SparkSession, df: DataFrame, source: str, table: str,
     else:
         (batch.write.format("parquet").bucketBy(buckets, HASH).sortBy(HASH)
          .saveAsTable(table))
+    spark.catalog.refreshTable(table)
     received = int(received_obs.get.get("n", 0))
     inserted = int(inserted_obs.get.get("n", 0))
     result = LandingResult(source, table, received, inserted, received - inserted)
