@@ -251,6 +251,27 @@ SELECT o_orderkey, indicator_id, o_orderpriority AS indicator_name, CAST(o_custk
        o_orderstatus AS country_name, CAST(year(o_orderdate) AS VARCHAR) AS year, value, '' AS unit,
        CAST(NULL AS VARCHAR) AS obs_status
 FROM r"""
+    q["page_check"] = """
+SELECT count(*) AS documents, count(*) FILTER (WHERE o_orderkey % 10 = 3) AS error_documents,
+       CAST(7 AS BIGINT) AS declared_pages,
+       count(DISTINCT CASE WHEN o_orderkey % 10 <> 3 THEN CAST(o_orderkey % 7 + 1 AS VARCHAR) END) AS pages_seen
+FROM orders"""
+    q["date_order_evidence"] = """
+WITH s AS (SELECT * FROM orders WHERE o_orderkey % 5 = 0),
+r AS (
+  SELECT 'day_first' AS reading, o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS d FROM s
+  UNION ALL
+  SELECT 'month_first', o_orderkey, o_totalprice,
+         CASE WHEN day(o_orderdate) <= 12 THEN make_date(year(o_orderdate), day(o_orderdate), month(o_orderdate)) END
+  FROM s)
+SELECT reading, count(*) AS slash_rows, count(d) AS parseable,
+       CAST(count(*) FILTER (WHERE d IS NOT NULL AND EXISTS (
+           SELECT 1 FROM orders o WHERE o.o_orderkey = r.o_orderkey AND o.o_totalprice = r.o_totalprice
+                                  AND CAST(o.o_orderdate AS DATE) = r.d)) AS BIGINT) AS matches,
+       CAST(count(*) FILTER (WHERE d IS NOT NULL AND EXISTS (
+           SELECT 1 FROM orders o WHERE o.o_orderkey = r.o_orderkey AND o.o_totalprice = r.o_totalprice
+                                  AND CAST(o.o_orderdate AS DATE) = r.d)) AS DOUBLE) / count(*) AS match_rate
+FROM r GROUP BY reading"""
     q["html_rows"] = """
 SELECT p_partkey, 1 AS row_number, CAST(p_partkey AS VARCHAR) AS key_raw, p_name AS name_raw, p_brand AS brand_raw,
        CAST(p_size AS VARCHAR) AS size_raw, CAST(NULL AS VARCHAR) AS error

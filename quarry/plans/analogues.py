@@ -28,7 +28,8 @@ from quarry.operators.reconcile import reconcile
 from quarry.plans import gold
 from quarry.plans.silver import SourceDef, accounting, classify, quarantine_rows, silver_rows
 from quarry.sources.html_table import extract_html_table
-from quarry.sources.paged_json import flatten_paged_json
+from quarry.operators.evidence import infer_date_order
+from quarry.sources.paged_json import flatten_paged_json, page_summary
 from quarry.sources.ragged_csv import parse_ragged_lines
 from quarry.sources.tabular import melt_wide, union_all
 
@@ -121,7 +122,8 @@ def paged_documents(spark, d) -> DataFrame:
             F.year("o_orderdate").cast("string").alias("date"),
             value.alias("value"), F.lit("").alias("unit"), F.lit(None).cast("string").alias("obs_status"))
 
-    meta = F.to_json(F.struct(F.lit(1).alias("page"), F.lit(1).alias("pages"), F.col("o_orderkey").alias("order")))
+    meta = F.to_json(F.struct(((F.col("o_orderkey") % 7) + 1).alias("page"), F.lit(7).alias("pages"),
+                              F.col("o_orderkey").alias("order")))
     records = F.when(F.col("o_orderstatus") == "P", F.lit("null")).otherwise(
         F.to_json(F.array(record("ORD", F.col("o_totalprice")), record("CUST", F.lit(None).cast("double"))),
                   {"ignoreNullFields": "false"}))
@@ -140,6 +142,20 @@ def json_array_explode(spark, d):
     return flatten_paged_json(paged_documents(spark, d), PAGED_FIELDS, keep=("o_orderkey",))
 
 
+def page_check(spark, d):
+    return page_summary(paged_documents(spark, d))
+
+
+def date_order_evidence(spark, d):
+    """Orders published twice: ISO dates, then a day-first slash rendering of every fifth
+    order; each reading of the slash dates is matched against the ISO rows."""
+    o = table(spark, d, "orders")
+    iso = o.select("o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_raw"))
+    slash = o.filter(F.col("o_orderkey") % 5 == 0).select(
+        "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "dd/MM/yyyy").alias("date_raw"))
+    return infer_date_order(iso.unionByName(slash), "date_raw", ["o_orderkey", "o_totalprice"])
+
+
 def html_pages(spark, d) -> DataFrame:
     p = table(spark, d, "part")
     name_header = F.when(F.col("p_partkey") % 31 == 0, F.lit("Label")).otherwise(F.lit("Name"))
@@ -610,6 +626,8 @@ QUERIES = {
     "ragged_fold": ragged_fold,
     "json_flatten": json_flatten,
     "json_array_explode": json_array_explode,
+    "page_check": page_check,
+    "date_order_evidence": date_order_evidence,
     "html_rows": html_rows,
     "melt_wide": melt_wide_q,
     "union_sources": union_sources,

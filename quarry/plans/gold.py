@@ -118,3 +118,58 @@ def recon_usd_rate_yearly(fact_fx: DataFrame, dim: DataFrame, fact_ind: DataFram
                              & (F.col("country_iso3") == fv.HOME_COUNTRY)).select("year", "value")
     return reconcile(daily, annual, "year", "kes_per_unit_mean", "value", fv.MIN_COVERAGE_DAYS,
                      fv.RECON_TOLERANCE, names=("cbk_avg_rate", "worldbank_avg_rate", "cbk_trading_days"))
+
+
+# ---------------------------------------------------------------------------------------
+# whole gold build and its data tests
+
+
+def build_gold(spark: SparkSession, fx: DataFrame, mobile: DataFrame, indicator: DataFrame,
+               metric: DataFrame) -> dict[str, DataFrame]:
+    """All gold models from the four silver tables (lazy; nothing is written)."""
+    s_fx, s_mm, s_ind, s_met = stg_fx(fx), stg_mobile(mobile), stg_indicator(indicator), stg_metric(metric)
+    dim = dim_date([(s_fx, "rate_date"), (s_mm, "period_month"), (s_met, "period_quarter")])
+    f_fx, f_ind = fact_exchange_rate(s_fx), fact_indicator(s_ind)
+    return {
+        "dim_date": dim, "dim_country": dim_country(spark), "dim_currency": dim_currency(spark),
+        "fact_exchange_rate": f_fx, "fact_mobile_money": fact_mobile_money(s_mm),
+        "fact_worldbank_indicator": f_ind, "fact_gsma_metric": fact_metric(s_met),
+        "recon_usd_rate_yearly": recon_usd_rate_yearly(f_fx, dim, f_ind),
+    }
+
+
+def gold_tests():
+    """The 32 declarative tests of the star schema."""
+    from quarry.operators.data_tests import (accepted_range, not_null, relationships, unique,
+                                             unique_combination)
+    t = []
+    for col in ("date_key", "calendar_date"):
+        t += [unique("dim_date", col), not_null("dim_date", col)]
+    t += [unique("dim_country", "country_iso3"), not_null("dim_country", "country_iso3")]
+    t += [unique("dim_currency", "currency_code"), not_null("dim_currency", "currency_code")]
+    f = "fact_exchange_rate"
+    t += [unique_combination(f, ["date_key", "currency_code"]),
+          not_null(f, "date_key"), relationships(f, "date_key", "dim_date", "date_key"),
+          not_null(f, "currency_code"), relationships(f, "currency_code", "dim_currency", "currency_code"),
+          not_null(f, "kes_per_unit_mean"), accepted_range(f, "kes_per_unit_mean", min_value=0, inclusive=False)]
+    f = "fact_mobile_money"
+    t += [unique(f, "date_key"), not_null(f, "date_key"), relationships(f, "date_key", "dim_date", "date_key"),
+          not_null(f, "country_iso3"), relationships(f, "country_iso3", "dim_country", "country_iso3")]
+    f = "fact_worldbank_indicator"
+    t += [unique_combination(f, ["indicator_code", "country_iso3", "year"]), not_null(f, "country_iso3"),
+          relationships(f, "country_iso3", "dim_country", "country_iso3"), not_null(f, "value")]
+    f = "recon_usd_rate_yearly"
+    t += [unique(f, "year"), not_null(f, "year"), not_null(f, "relative_difference"),
+          accepted_range(f, "relative_difference", min_value=0, max_value=fv.RECON_TOLERANCE)]
+    f = "fact_gsma_metric"
+    t += [unique_combination(f, ["measure", "geo_view", "geo_name", "attribute", "unit", "metric", "date_key"]),
+          not_null(f, "date_key"), relationships(f, "date_key", "dim_date", "date_key"), not_null(f, "value")]
+    return t
+
+
+def publish_gold(spark: SparkSession, models: dict[str, DataFrame], database: str = "gold") -> None:
+    """Materialise every model as a table (each replaced as a new version)."""
+    from quarry.plans.silver import replace_table
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name, df in models.items():
+        replace_table(spark, df, f"{database}.{name}")

@@ -12,15 +12,39 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def record_schema(fields: Mapping[str, str]) -> T.StructType:
+    """Nested struct type with a string leaf for every dotted path."""
+    tree: dict = {}
+    for path in fields.values():
+        node = tree
+        parts = path.split(".")
+        for p in parts[:-1]:
+            node = node.setdefault(p, {})
+            if node is None:
+                raise ValueError(f"path {path} nests under a leaf")
+        node.setdefault(parts[-1], None)
+
+    def build(node: dict) -> T.StructType:
+        return T.StructType([T.StructField(k, T.StringType() if v is None else build(v)) for k, v in node.items()])
+
+    return build(tree)
 
 
 def flatten_paged_json(docs: DataFrame, fields: Mapping[str, str], doc_col: str = "value",
                        keep: tuple = ()) -> DataFrame:
-    """``fields`` maps output column -> dotted JSON path inside a record."""
-    records = F.from_json(F.get_json_object(F.col(doc_col), "$[1]"), "array<string>")
+    """``fields`` maps output column -> dotted JSON path inside a record.
+
+    Each record list is parsed once into an array of nested structs (string leaves keep a
+    number's source text); a missing object yields null for every path below it.
+    """
+    schema = T.ArrayType(record_schema(fields))
+    records = F.from_json(F.get_json_object(F.col(doc_col), "$[1]"), schema)
     exploded = docs.select(*keep, F.explode(records).alias("_rec"))
-    return exploded.select(*keep, *[F.get_json_object("_rec", f"$.{p}").alias(c)
-                                    for c, p in fields.items()])
+    return exploded.select(*keep, *[F.col("_rec." + ".".join(f"`{p}`" for p in path.split("."))).alias(c)
+                                    for c, path in fields.items()])
 
 
 def read_paged_json(spark: SparkSession, path: str, fields: Mapping[str, str]) -> DataFrame:

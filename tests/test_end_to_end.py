@@ -1,0 +1,113 @@
+"""Whole flow on small invented inputs: land four feeds, build silver, gold, tests, feed."""
+
+import datetime as dt
+import json
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from quarry.functions import fixed_values as fv
+from quarry.operators.data_tests import run_data_tests
+from quarry.operators.landing import land
+from quarry.plans import gold as G
+from quarry.plans import serve as V
+from quarry.plans import silver as S
+from quarry.session import ensure_databases
+from quarry.sources import extract_html_table, melt_wide, read_paged_json, read_ragged_csv
+
+FX_LINES = """2016-10-12,US DOLLAR,101.2847,101.1847,101.3847
+2016-10-13,US DOLLAR,101.2953,101.1953,101.3953
+13/10/2016,US DOLLAR,101.2953,101.1953,101.3953
+2016-10-13,"KES / USHS",33.6379,33.5567,33.7191
+2016-10-13,"JPY (100)",97.7463,97.6463,97.8463
+2016-10-13,EURO,111.0,110.9,111.1
+2016-10-13,  euro ,111.5,111.4,111.6
+
+Date,US DOLLAR,STG POUND
+2038-01-22,AUSTRALIAN $,82.3,82.2,82.4
+2016-10-12,US DOLLAR,101.2847,101.1847,101.3847
+2017-03-28,SA RAND,7.5,7.6,7.4
+"""
+
+
+def _indicator_pages(d):
+    def rec(code, iso, year, value):
+        return {"indicator": {"id": code, "value": "x"}, "country": {"id": iso[:2], "value": iso},
+                "countryiso3code": iso, "date": str(year), "value": value, "unit": "", "obs_status": ""}
+    pages = [[{"page": 1, "pages": 2}, [rec(fv.RATE_INDICATOR, "KEN", 2016, 101.5), rec(fv.RATE_INDICATOR, "KEN", 2017, None),
+                                        rec(fv.OWNERSHIP_INDICATOR, "KEN", 2021, 79.2)]],
+             [{"page": 2, "pages": 2}, [rec(fv.OWNERSHIP_INDICATOR, "TZA", 2021, 52.4),
+                                        rec(fv.OWNERSHIP_INDICATOR, "TZA", 2017, 46.8)]]]
+    for i, p in enumerate(pages):
+        with open(os.path.join(d, f"page{i}.json"), "w") as f:
+            json.dump(p, f)
+
+
+def _mobile_page():
+    head = "".join(f"<th>{h}</th>" for h in fv.MOBILE_HEADERS)
+    rows = [("2016", "October", "165,908", "34.5", "150.2", "312.4"), ("2016", "September", "160,000", "34.0", "149.1", "300.0")]
+    body = "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows)
+    return f"<table id='{fv.MOBILE_TABLE_ID}'><thead><tr><th></th>{head}</tr></thead><tbody>{body}</tbody></table>"
+
+
+def test_whole_flow(spark):
+    ensure_databases(spark)
+    d = tempfile.mkdtemp()
+    with open(os.path.join(d, "fx.csv"), "w") as f:
+        f.write(FX_LINES)
+    os.makedirs(os.path.join(d, "wb"))
+    _indicator_pages(os.path.join(d, "wb"))
+    with open(os.path.join(d, "sheet.csv"), "w") as f:
+        f.write("Measure,Geo_view,Geo_name,Attribute,Unit,Metric,01/09/2016,01/12/2016\n"
+                "Accounts,Region,Sub-Saharan Africa ,Registered,Accounts,MM,100, \n"
+                "Accounts,Subregion,East Africa,Registered,Accounts,MM,60,65\n")
+    at = dt.datetime(2026, 7, 15, 6, 0)
+
+    fx = read_ragged_csv(spark, os.path.join(d, "fx.csv"), fv.FX_COLUMNS)
+    r = land(spark, fx, "cbk_fx_csv", "bronze.cbk_fx_rates", at)
+    assert (r.rows_received, r.rows_inserted, r.rows_skipped) == (11, 10, 1)
+    fields = dict(zip(fv.INDICATOR_COLUMNS, ["indicator.id", "indicator.value", "countryiso3code", "country.value",
+                                             "date", "value", "unit", "obs_status"]))
+    land(spark, read_paged_json(spark, os.path.join(d, "wb"), fields), "worldbank_api", "bronze.worldbank_indicators", at)
+    pages = spark.createDataFrame([(1, _mobile_page())], "id long, html string")
+    mobile = extract_html_table(pages, "html", fv.MOBILE_TABLE_ID, fv.MOBILE_HEADERS, fv.MOBILE_COLUMNS).select(*fv.MOBILE_COLUMNS)
+    land(spark, mobile, "cbk_mobile_html", "bronze.cbk_mobile_payments", at)
+    sheet = spark.read.csv(os.path.join(d, "sheet.csv"), header=True, inferSchema=False, ignoreTrailingWhiteSpace=False)
+    land(spark, melt_wide(sheet, fv.METRIC_ID_COLUMNS, "period_raw", "value_raw", fv.METRIC_COLUMNS),
+         "gsma_xlsx", "bronze.gsma_mobile_money", at)
+
+    assert S.run_all(spark, S.SOURCES, dt.date(2026, 7, 15)) == 0
+    log = {r["target_table"]: r for r in spark.table("meta.silver_log").collect()}
+    fx_log = log["silver.fx_rates_daily"]
+    # 10 landed: 6 clean, 1 collapsed (slash copy of 13 Oct USD), 2 EUR conflict, header + 2038 + buy>sell failed
+    assert (fx_log["rows_in"], fx_log["rows_clean"], fx_log["rows_quarantined"], fx_log["rows_deduped"]) == (10, 4, 5, 1)
+    q = {r["reasons"] for r in spark.table("silver.quarantine").collect()}
+    assert "conflicting duplicate on business key ['rate_date', 'currency_code']" in q
+    assert any("buy_rate_lte_sell_rate" in x for x in q)
+    assert any(x.startswith("value: not_nullable") for x in q)
+
+    models = G.build_gold(spark, spark.table("silver.fx_rates_daily"), spark.table("silver.mobile_payments_monthly"),
+                          spark.table("silver.worldbank_annual"), spark.table("silver.gsma_metrics_quarterly"))
+    G.publish_gold(spark, models)
+    f = spark.table("gold.fact_exchange_rate").join(spark.table("gold.dim_date"), "date_key")
+    usd = f.filter("currency_code = 'USD'").groupBy("month_start").agg(F.avg("kes_per_unit_mean").alias("m")).first()
+    assert round(usd["m"], 2) == 101.29
+    ugx = f.filter("currency_code = 'UGX'").first()
+    assert round(ugx["kes_per_unit_buy"], 10) == 0.0296567821
+
+    gold = {n: spark.table(f"gold.{n}") for n in models}
+    tests = run_data_tests(gold, G.gold_tests()).collect()
+    assert len(tests) == 32
+    assert all(t["status"] == "pass" for t in tests), [t for t in tests if t["status"] != "pass"]
+
+    doc = V.feed(gold["fact_exchange_rate"], gold["fact_mobile_money"], gold["fact_worldbank_indicator"],
+                 gold["dim_date"], at).first().asDict(recursive=True)
+    assert doc["fx"]["kes_per_usd"]["as_of"] == "2016-10-13"
+    assert set(doc["fx"]["regional_units_per_kes"]) == {"UGX"}
+    assert [m["month"] for m in doc["cico_value_ksh_billions_last_12m"]] == ["2016-09-01", "2016-10-01"]
+    assert doc["account_ownership"]["TZA"]["as_of_year"] == 2021
+    out = os.path.join(d, "feed")
+    V.write_feed(V.feed(gold["fact_exchange_rate"], gold["fact_mobile_money"], gold["fact_worldbank_indicator"],
+                        gold["dim_date"], at), out)
+    assert any(n.endswith(".json") for n in os.listdir(out))
