@@ -59,7 +59,10 @@ def to_number(c, commas: bool = True) -> Column:
     if commas:
         s = drop_commas(s)
     s = strip(s)
-    return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
+    # the pattern's match (or "" when it does not match) is the only thing cast, so the
+    # input expression is evaluated once
+    matched = F.regexp_extract(s, "^(" + NUMBER_PATTERN[1:-1] + ")$", 1)
+    return F.nullif(matched, F.lit("")).try_cast("double")
 
 
 def to_long(c, sentinel: int | None = -1, commas: bool = True) -> Column:
@@ -95,9 +98,22 @@ def reason(name: str, check: str) -> str:
 
 
 def parse_date(c, formats: Sequence[str] = ("yyyy-M-d", "d/M/yyyy")) -> Column:
-    """First format that parses wins; nothing parses -> null (never an error)."""
+    """First format that parses wins; nothing parses -> null (never an error).
+
+    A format is only tried on strings containing its separator characters, which skips
+    the (costly) failed parse attempts for strings of another shape.
+    """
     s = as_col(c)
-    return F.coalesce(*[F.try_to_date(s, f) for f in formats])
+    tries = []
+    for f in formats:
+        seps = sorted({ch for ch in f if not ch.isalnum() and ch not in "'[]"})
+        guard = None
+        for ch in seps:
+            g = F.instr(s, ch) > 0
+            guard = g if guard is None else guard & g
+        attempt = F.try_to_date(s, f)
+        tries.append(attempt if guard is None else F.when(guard, attempt))
+    return F.coalesce(*tries)
 
 
 def month_start(year, month) -> Column:
