@@ -8,8 +8,8 @@ skipped, so a rerun inserts nothing; ``skipped = received - inserted`` counts bo
 Scale notes: the in-batch de-duplication is an aggregate (partial aggregation before the
 shuffle, so a hot group of copies is combined map-side). The target is bucketed on the
 hash, so the anti-join reads it without an exchange and only the incoming batch is
-shuffled into the matching buckets. Counts come from ``observe`` during the single write
-job: the batch is read once.
+shuffled into the matching buckets. Counts come from ``observe`` in the result stage of the
+single write job: the batch is read once and the counts are exact under task retries.
 """
 
 from __future__ import annotations
@@ -112,28 +112,41 @@ def _log(spark: SparkSession, rows: list[tuple], log_table: str) -> None:
 def land(spark: SparkSession, df: DataFrame, source: str, table: str,
          started_at: dt.datetime | None = None, log_table: str = "meta.ingestion_log",
          buckets: int = DEFAULT_BUCKETS) -> LandingResult:
-    """Append unseen rows of ``df`` to ``table`` and record the run in the ingestion log."""
+    """Append unseen rows of ``df`` to ``table`` and record the run in the ingestion log.
+
+    One job: rows are grouped by hash (copies counted), marked seen/unseen against the
+    target's hashes, counted, and the unseen groups are written. Both counts are observed
+    after the last shuffle, i.e. in the result stage, where Spark applies each task's
+    metric update exactly once even when tasks or executors are lost and work is redone.
+    """
     started_at = started_at or utc_now()
-    received_obs, inserted_obs = Observation("received"), Observation("inserted")
-    observed = df.observe(received_obs, F.count(F.lit(1)).alias("n"))
+    counts = Observation("landing")
+    payload = landing_payload(df, source, started_at)
+    cols = payload.columns
     exists = spark.catalog.tableExists(table)
     if exists:
         target = spark.table(table)
         expected = [c for c in target.columns if c not in META_COLUMNS]
         if expected != df.columns:
             raise ValueError(f"{table}: incoming columns {df.columns} differ from {expected}")
-        batch = new_rows(observed, source, started_at, target)
+    groups = payload.groupBy(HASH).agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in cols if c != HASH],
+                                       F.count(F.lit(1)).alias("_n"))
+    if exists:
+        seen = target.select(HASH, F.lit(True).alias("_seen"))
+        marked = groups.join(seen, on=HASH, how="left")
     else:
-        batch = new_rows(observed, source, started_at)
-    batch = batch.observe(inserted_obs, F.count(F.lit(1)).alias("n"))
+        marked = groups.withColumn("_seen", F.lit(None).cast("boolean"))
+    observed = marked.observe(counts, F.coalesce(F.sum("_n"), F.lit(0)).alias("received"),
+                              F.count_if(F.col("_seen").isNull()).alias("inserted"))
+    batch = observed.filter(F.col("_seen").isNull()).select(*[F.col(f"`{c}`") for c in cols])
     if exists:
-        batch.select(*spark.table(table).columns).write.insertInto(table)
+        batch.select(*target.columns).write.insertInto(table)
     else:
         (batch.write.format("parquet").bucketBy(buckets, HASH).sortBy(HASH)
          .saveAsTable(table))
     spark.catalog.refreshTable(table)
-    received = int(received_obs.get.get("n", 0))
-    inserted = int(inserted_obs.get.get("n", 0))
+    got = counts.get
+    received, inserted = int(got.get("received") or 0), int(got.get("inserted") or 0)
     result = LandingResult(source, table, received, inserted, received - inserted)
     _log(spark, [(source, table, started_at, received, inserted, received - inserted, "ok", None)],
          log_table)
