@@ -385,6 +385,16 @@ rate AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start, av
 SELECT m.month_start AS month, round(m.value, 2) AS value, round(r.unit_rate, 6) AS unit_rate,
        round(m.value / r.unit_rate, 6) AS converted
 FROM monthly m JOIN rate r ON m.month_start = r.month_start"""
+    q["run_rate"] = "WITH " + MONTHLY_VALUE + """,
+rate AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start, avg(l_extendedprice / l_quantity) AS unit_rate
+         FROM lineitem GROUP BY 1),
+conv AS (SELECT m.month_start AS month, m.value / r.unit_rate AS converted
+         FROM monthly m JOIN rate r ON m.month_start = r.month_start),
+last12 AS (SELECT * FROM conv WHERE converted IS NOT NULL ORDER BY month DESC LIMIT 12)
+SELECT (SELECT max(month) FROM conv WHERE converted IS NOT NULL) AS latest_month,
+       (SELECT round(arg_max(converted, month), 6) FROM conv WHERE converted IS NOT NULL) AS latest_converted,
+       (SELECT round(sum(converted), 6) FROM last12) AS trailing_12_converted,
+       (SELECT count(*) FROM last12) AS n_periods"""
     regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
     q["pivot_series"] = "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, " + ", ".join(
         f"count(*) FILTER (WHERE r_name = '{r}') AS \"{r}\"" for r in regions) + """

@@ -547,6 +547,16 @@ def trailing_12(spark, d):
     return t.select("month_start", F.round("value", 2).alias("value"))
 
 
+def convert_monthly_exact(spark, d) -> DataFrame:
+    li = table(spark, d, "lineitem")
+    rate = sv.period_mean(li.select(F.trunc("l_shipdate", "month").alias("month_start"),
+                                    (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price")),
+                          "month_start", "unit_price", "unit_rate")
+    value = monthly_order_value(spark, d).withColumnRenamed("month_start", "month")
+    j = value.join(rate, value.month == rate.month_start)
+    return j.select("month", "value", "unit_rate", (F.col("value") / F.col("unit_rate")).alias("converted"))
+
+
 def convert_monthly(spark, d):
     li = table(spark, d, "lineitem")
     rate = sv.period_mean(li.select(F.trunc("l_shipdate", "month").alias("month_start"),
@@ -558,6 +568,16 @@ def convert_monthly(spark, d):
                     F.round(F.col("value") / F.col("unit_rate"), 6).alias("converted"))
 
 
+def run_rate(spark, d):
+    """Latest converted month and the total of the trailing twelve converted months."""
+    conv = convert_monthly_exact(spark, d)
+    latest = sv.latest(conv.dropna(subset=["converted"]), ["month"]).select(
+        F.col("month").alias("latest_month"), F.round("converted", 6).alias("latest_converted"))
+    trailing = sv.trailing_sum(conv, "month", "converted", 12).select(
+        F.round("trailing_12_converted", 6).alias("trailing_12_converted"), F.col("n_periods"))
+    return sv.combine_rows([latest, trailing])
+
+
 def pivot_series_q(spark, d):
     o = table(spark, d, "orders")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
@@ -655,6 +675,7 @@ QUERIES = {
     "latest_per_group": latest_per_group,
     "trailing_12": trailing_12,
     "convert_monthly": convert_monthly,
+    "run_rate": run_rate,
     "pivot_series": pivot_series_q,
     "first_last": first_last_q,
     "coverage_span": coverage_span,
