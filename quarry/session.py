@@ -62,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder: executors can be lost and "
+                             "checkpoints must outlive them")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -53,16 +53,19 @@ def read_paged_json(spark: SparkSession, path: str, fields: Mapping[str, str]) -
 
 
 def page_summary(docs: DataFrame, doc_col: str = "value") -> DataFrame:
-    """One row: documents, error envelopes, declared page count and distinct pages seen."""
-    meta = F.get_json_object(F.col(doc_col), "$[0]")
-    is_error = (F.get_json_object(F.col(doc_col), "$.message").isNotNull()
-                | F.get_json_object(F.col(doc_col), "$[0].message").isNotNull()
-                | meta.isNull())
-    return docs.agg(
+    """One row: documents, error envelopes, declared page count and distinct pages seen.
+
+    The page metadata is parsed once per document into a struct.
+    """
+    meta = F.from_json(F.get_json_object(F.col(doc_col), "$[0]"),
+                       "page string, pages string, message string")
+    is_error = (meta.isNull() | meta["message"].isNotNull()
+                | F.get_json_object(F.col(doc_col), "$.message").isNotNull())
+    return docs.select(meta.alias("_m"), is_error.alias("_err")).agg(
         F.count(F.lit(1)).alias("documents"),
-        F.count_if(is_error).alias("error_documents"),
-        F.max(F.get_json_object(meta, "$.pages").try_cast("long")).alias("declared_pages"),
-        F.count_distinct(F.get_json_object(meta, "$.page")).alias("pages_seen"),
+        F.count_if("_err").alias("error_documents"),
+        F.max(F.col("_m.pages").try_cast("long")).alias("declared_pages"),
+        F.count_distinct(F.col("_m.page")).alias("pages_seen"),
     )
 
 
