@@ -26,6 +26,7 @@ from quarry.operators.dedup import STATUS
 from quarry.operators.landing import landing_counts, new_rows
 from quarry.operators.reconcile import reconcile
 from quarry.plans import gold
+from quarry.session import spread
 from quarry.plans.silver import SourceDef, accounting, classify, quarantine_rows, silver_rows
 from quarry.sources.html_table import extract_html_table
 from quarry.operators.evidence import infer_date_order
@@ -54,8 +55,11 @@ HTML_COLUMNS = ["key_raw", "name_raw", "brand_raw", "size_raw"]
 RAGGED_COLUMNS = ["key_raw", "name_raw", "brand_raw", "type_raw", "rest_raw"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """A supplied table; ``heavy`` marks inputs followed by costly per-row work (parsing,
+    hashing, document building), which are spread over all cores when unsplittable."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df, min_bytes=1 << 16) if heavy else df
 
 
 def dec2(c) -> Column:
@@ -72,7 +76,7 @@ def iso(c) -> Column:
 
 
 def land_first_batch(spark, d):
-    docs = table(spark, d, "documents").select("text", "lang", "source")
+    docs = table(spark, d, "documents", heavy=True).select("text", "lang", "source")
     return new_rows(docs, "documents", INGESTED_FIRST)
 
 
@@ -89,7 +93,7 @@ def land_incremental(spark, d):
 
 
 def ragged_lines(spark, d) -> DataFrame:
-    p = table(spark, d, "part")
+    p = table(spark, d, "part", heavy=True)
     fields = F.array(
         F.col("p_partkey").cast("string"), F.col("p_name"), F.col("p_brand"), F.col("p_type"),
         F.col("p_size").cast("string"),
@@ -105,14 +109,14 @@ def ragged_fold(spark, d):
 
 
 def json_flatten(spark, d):
-    ev = table(spark, d, "events")
+    ev = table(spark, d, "events", heavy=True)
     return flatten_paged_json(
         ev.select("event_id", "event_type", F.concat(F.lit("[{}, ["), F.col("props"), F.lit("]]")).alias("value")),
         {"k": "k", "missing_id": "missing.id"}, keep=("event_id", "event_type"))
 
 
 def paged_documents(spark, d) -> DataFrame:
-    o = table(spark, d, "orders")
+    o = table(spark, d, "orders", heavy=True)
 
     def record(ind_id: str, value: Column) -> Column:
         return F.struct(
@@ -157,7 +161,7 @@ def date_order_evidence(spark, d):
 
 
 def html_pages(spark, d) -> DataFrame:
-    p = table(spark, d, "part")
+    p = table(spark, d, "part", heavy=True)
     name_header = F.when(F.col("p_partkey") % 31 == 0, F.lit("Label")).otherwise(F.lit("Name"))
     html = F.concat(
         F.lit("<html><body><p>part "), F.col("p_partkey").cast("string"),
@@ -246,7 +250,7 @@ LINEITEM_RAW = ["l_orderkey_raw", "l_linenumber_raw", "l_quantity_raw", "l_exten
 
 
 def lineitem_bronze(spark, d) -> DataFrame:
-    li = table(spark, d, "lineitem")
+    li = table(spark, d, "lineitem", heavy=True)
     k = F.col("l_orderkey")
     qty = F.when((F.col("l_linenumber") == 7) & (k % 10 == 0), F.concat(F.lit("-"), dec2("l_quantity"))).otherwise(
         dec2("l_quantity"))
@@ -347,7 +351,7 @@ ORDERS_RAW = ["o_orderkey_raw", "o_custkey_raw", "o_orderstatus_raw", "o_totalpr
 
 
 def orders_bronze(spark, d) -> DataFrame:
-    o = table(spark, d, "orders")
+    o = table(spark, d, "orders", heavy=True)
 
     def render(date_fmt: str, price: Column, at: dt.datetime) -> DataFrame:
         return o.select(F.col("o_orderkey").cast("string").alias("o_orderkey_raw"),

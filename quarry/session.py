@@ -80,3 +80,22 @@ def ensure_databases(spark: SparkSession, names=("bronze", "silver", "gold", "me
     """Create the layer namespaces when absent."""
     for n in names:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {n}")
+
+
+def spread(df, min_partitions: int | None = None, min_bytes: int = 1 << 20):
+    """Give a large-but-unsplittable input enough partitions to use every core.
+
+    A file written as one row group is read as one task however big it is. When the input
+    has fewer partitions than the session's default parallelism and its estimated size is
+    above ``min_bytes``, it is hash-partitioned on all its columns (deterministic under task
+    retries, unlike a round-robin without a sort). Inputs that are already split finer than
+    the parallelism (any large table on a cluster) are returned untouched.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df._jdf.rdd().getNumPartitions() >= target:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < min_bytes:
+        return df
+    return df.repartition(target, *[df[f"`{c}`"] for c in df.columns])
