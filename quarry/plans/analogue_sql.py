@@ -257,7 +257,7 @@ SELECT count(*) AS documents, count(*) FILTER (WHERE o_orderkey % 10 = 3) AS err
        count(DISTINCT CASE WHEN o_orderkey % 10 <> 3 THEN CAST(o_orderkey % 7 + 1 AS VARCHAR) END) AS pages_seen
 FROM orders"""
     q["date_order_evidence"] = """
-WITH s AS (SELECT * FROM orders WHERE o_orderkey % 5 = 0),
+WITH s AS (SELECT * FROM orders),
 r AS (
   SELECT 'day_first' AS reading, o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS d FROM s
   UNION ALL

@@ -151,11 +151,11 @@ def page_check(spark, d):
 
 
 def date_order_evidence(spark, d):
-    """Orders published twice: ISO dates, then a day-first slash rendering of every fifth
-    order; each reading of the slash dates is matched against the ISO rows."""
+    """Orders published twice: ISO dates, then a day-first slash rendering of every order;
+    each reading of the slash dates is matched against the ISO rows."""
     o = table(spark, d, "orders")
     iso = o.select("o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_raw"))
-    slash = o.filter(F.col("o_orderkey") % 5 == 0).select(
+    slash = o.select(
         "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "dd/MM/yyyy").alias("date_raw"))
     return infer_date_order(iso.unionByName(slash), "date_raw", ["o_orderkey", "o_totalprice"])
 
