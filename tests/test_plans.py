@@ -38,3 +38,14 @@ def test_validation_is_codegen_and_not_repeated(spark):
     p = A.validate_clean(spark, SF)._jdf.queryExecution().executedPlan().treeString()
     filters = [line for line in p.splitlines() if "Filter" in line]
     assert all("RLIKE" not in f for f in filters)
+
+
+def test_classification_parses_bronze_once(spark):
+    """The per-key count reuses the version aggregation's exchange (checked on the plan of
+    a query that actually ran: adaptive execution applies reuse at run time)."""
+    from quarry.plans.silver import accounting
+    df = accounting(A.lineitem_classified(spark, SF))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in final
+    assert final.count("ReusedExchange") >= 1
