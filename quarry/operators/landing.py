@@ -25,7 +25,9 @@ from quarry.functions.scalar import row_hash
 
 HASH = "_source_row_hash"
 META_COLUMNS = ["_source", "_ingested_at", HASH]
-DEFAULT_BUCKETS = 64
+MIN_BUCKETS, MAX_BUCKETS = 16, 16384
+TARGET_BUCKET_BYTES = 256 * 1024 * 1024
+GROWTH = 8          # room for the table to grow past its first batch before buckets get large
 
 INGESTION_LOG_SCHEMA = T.StructType([
     T.StructField("source", T.StringType(), False),
@@ -105,13 +107,25 @@ def landing_counts(df: DataFrame, source: str, ingested_at, target: DataFrame |
                          (F.col("rows_received") - F.col("rows_inserted")).alias("rows_skipped"))
 
 
+def bucket_count(df: DataFrame) -> int:
+    """Buckets for a new bronze table: a power of two sized from the first batch's estimated
+    bytes (times a growth allowance), between MIN_BUCKETS and MAX_BUCKETS, so one bucket of
+    one write stays a few hundred megabytes."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    want = max(1, (size * GROWTH) // TARGET_BUCKET_BYTES)
+    n = MIN_BUCKETS
+    while n < want and n < MAX_BUCKETS:
+        n *= 2
+    return n
+
+
 def _log(spark: SparkSession, rows: list[tuple], log_table: str) -> None:
     spark.createDataFrame(rows, INGESTION_LOG_SCHEMA).write.mode("append").saveAsTable(log_table)
 
 
 def land(spark: SparkSession, df: DataFrame, source: str, table: str,
          started_at: dt.datetime | None = None, log_table: str = "meta.ingestion_log",
-         buckets: int = DEFAULT_BUCKETS) -> LandingResult:
+         buckets: int | None = None) -> LandingResult:
     """Append unseen rows of ``df`` to ``table`` and record the run in the ingestion log.
 
     One job: rows are grouped by hash (copies counted), marked seen/unseen against the
@@ -142,7 +156,7 @@ def land(spark: SparkSession, df: DataFrame, source: str, table: str,
     if exists:
         batch.select(*target.columns).write.insertInto(table)
     else:
-        (batch.write.format("parquet").bucketBy(buckets, HASH).sortBy(HASH)
+        (batch.write.format("parquet").bucketBy(buckets or bucket_count(df), HASH).sortBy(HASH)
          .saveAsTable(table))
     spark.catalog.refreshTable(table)
     got = counts.get
