@@ -111,7 +111,10 @@ def bucket_count(df: DataFrame) -> int:
     """Buckets for a new bronze table: a power of two sized from the first batch's estimated
     bytes (times a growth allowance), between MIN_BUCKETS and MAX_BUCKETS, so one bucket of
     one write stays a few hundred megabytes."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no plan statistics available: assume a large table
+        return MAX_BUCKETS // 16
     want = max(1, (size * GROWTH) // TARGET_BUCKET_BYTES)
     n = MIN_BUCKETS
     while n < want and n < MAX_BUCKETS:

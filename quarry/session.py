@@ -91,11 +91,14 @@ def spread(df, min_partitions: int | None = None, min_bytes: int = 1 << 20):
     retries, unlike a round-robin without a sort). Inputs that are already split finer than
     the parallelism (any large table on a cluster) are returned untouched.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() >= target:
+    try:
+        spark = df.sparkSession
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        if df._jdf.rdd().getNumPartitions() >= target:
+            return df
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): leave the plan as is
         return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size < min_bytes:
         return df
     return df.repartition(target, *[df[f"`{c}`"] for c in df.columns])
