@@ -113,3 +113,59 @@ def combine_rows(parts: Sequence[DataFrame]) -> DataFrame:
     for p in parts[1:]:
         u = u.unionByName(p, allowMissingColumns=True)
     return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in u.columns])
+
+
+def select_as(df: DataFrame, mapping: dict) -> DataFrame:
+    """Rename + select: ``{new_name: old_name_or_Column}``."""
+    return df.select(*[as_col(old).alias(new) for new, old in mapping.items()])
+
+
+def drop_blank_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Skip rows whose listed fields are all null or whitespace."""
+    from quarry.functions.scalar import not_blank
+    keep = F.lit(False)
+    for c in cols:
+        keep = keep | not_blank(c)
+    return df.filter(keep)
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = 8 * 1024 * 1024) -> DataFrame:
+    """Broadcast hint only when the planner's size estimate proves the side small;
+    otherwise the frame is returned as is and the join stays a shuffle join."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: do not hint
+        return df
+    return F.broadcast(df) if size <= max_bytes else df
+
+
+def lookup(df: DataFrame, label: str, mapping: DataFrame, key: str = "label") -> DataFrame:
+    """Dictionary lookup as a left join on the normalised label (unknown labels give nulls)."""
+    from quarry.functions.scalar import norm_label
+    keyed = df.withColumn(key, norm_label(label))
+    return keyed.join(broadcast_if_small(mapping), on=key, how="left")
+
+
+def mean_and_count(df: DataFrame, keys: Sequence[str], value: str, mean_name: str, count_name: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.avg(value).alias(mean_name), F.count(F.lit(1)).alias(count_name))
+
+
+def total(df: DataFrame, cond: Column, col: str, names=("n_rows", "conditional_sum")) -> DataFrame:
+    """Global row count and the sum of ``col`` over rows meeting ``cond``."""
+    return df.agg(F.count(F.lit(1)).alias(names[0]),
+                  F.sum(F.when(cond, F.col(col))).alias(names[1]))
+
+
+def series_by(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """One ordered series per key, as long rows (never collected into one row per key)."""
+    return df.select(key, order, value).orderBy(key, order)
+
+
+def sample_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows by a total order (give a unique last column as tie-break)."""
+    return df.orderBy(*order).limit(n)
+
+
+def known_codes(pairs: Sequence[tuple]) -> list:
+    """Distinct sorted codes of a fixed lookup table, resolved at plan time."""
+    return sorted({p[1] for p in pairs})

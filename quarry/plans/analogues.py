@@ -207,11 +207,10 @@ def label_lookup(spark, d):
     raw = (F.when(v == 0, F.col("p_type")).when(v == 1, F.lower("p_type"))
            .when(v == 2, F.concat(F.lit("  "), F.col("p_type"), F.lit("   grade\t")))
            .otherwise(F.concat(F.lower("p_type"), F.lit("  Grade"))))
-    labels = p.select("p_partkey", raw.alias("label_raw")).withColumn("label", norm_label("label_raw"))
-    lookup = spark.createDataFrame(TYPE_CODES, "label string, type_code string")
-    # the lookup is a fixed ten-row table: broadcasting it is bounded by construction
-    return labels.join(F.broadcast(lookup), on="label", how="left").select("p_partkey", "label_raw", "label",
-                                                                           "type_code")
+    labels = p.select("p_partkey", raw.alias("label_raw"))
+    codes = spark.createDataFrame(TYPE_CODES, "label string, type_code string")
+    # normalised-label lookup; the code table is broadcast only because its size is proven small
+    return sv.lookup(labels, "label_raw", codes).select("p_partkey", "label_raw", "label", "type_code")
 
 
 def mixed_dates(spark, d):

@@ -173,3 +173,14 @@ def publish_gold(spark: SparkSession, models: dict[str, DataFrame], database: st
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, df in models.items():
         replace_table(spark, df, f"{database}.{name}")
+
+
+def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str) -> None:
+    """Staging models are views (late-bound projections); marts are tables."""
+    if kind == "view":
+        df.createOrReplaceTempView(name.replace(".", "_"))
+    elif kind == "table":
+        from quarry.plans.silver import replace_table
+        replace_table(spark, df, name)
+    else:
+        raise ValueError("kind must be 'view' or 'table'")

@@ -59,3 +59,90 @@ def feed(fact_fx: DataFrame, fact_mm: DataFrame, fact_ind: DataFrame, dim: DataF
 def write_feed(doc: DataFrame, path: str) -> None:
     """Write the one-row document as a single JSON file folder."""
     doc.coalesce(1).write.mode("overwrite").json(path)
+
+
+# ---------------------------------------------------------------------------------------
+# the remaining published queries over gold, silver and meta
+
+
+def latest_month(fact_mm: DataFrame, dim: DataFrame) -> DataFrame:
+    """Latest mobile-money month with its headline figures."""
+    f = join_dim(fact_mm, dim, "date_key")
+    return latest(f.select("calendar_date", "registered_accounts_millions", "active_agents",
+                           "agent_cico_volume_million", "agent_cico_value_ksh_billions"), ["calendar_date"])
+
+
+def coverage(fact_fx: DataFrame, dim: DataFrame) -> DataFrame:
+    """First and last rate day and the number of rate facts."""
+    from quarry.operators.serving import span
+    return span(join_dim(fact_fx, dim, "date_key"), "calendar_date")
+
+
+def totals(ingestion_log: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """Rows landed by successful runs and rows in quarantine."""
+    from quarry.operators.serving import combine_rows
+    landed = ingestion_log.agg(F.sum(F.when(F.col("status") == "ok", F.col("rows_inserted"))).alias("rows_landed"))
+    quarantined = quarantine.agg(F.count(F.lit(1)).alias("rows_quarantined"))
+    return combine_rows([landed, quarantined])
+
+
+def convert_monthly(fact_fx: DataFrame, fact_mm: DataFrame, dim: DataFrame, code: str = "USD") -> DataFrame:
+    """Each month's value converted at that month's mean rate (months without a rate vanish)."""
+    from quarry.operators.serving import period_mean
+    rates = join_dim(fact_fx.filter(F.col("currency_code") == code), dim, "date_key")
+    monthly = period_mean(rates, "month_start", "kes_per_unit_mean", "kes_per_unit")
+    mm = join_dim(fact_mm, dim, "date_key").select("calendar_date", "agent_cico_value_ksh_billions")
+    j = mm.join(monthly, mm.calendar_date == monthly.month_start)
+    return j.select(F.col("calendar_date").alias("month"), "agent_cico_value_ksh_billions", "kes_per_unit",
+                    (F.col("agent_cico_value_ksh_billions") / F.col("kes_per_unit")).alias("converted_billions"))
+
+
+def run_rate(converted: DataFrame, n: int = 12) -> DataFrame:
+    """Latest converted month and the trailing-n total."""
+    from quarry.operators.serving import combine_rows, trailing_sum
+    last = latest(converted.dropna(subset=["converted_billions"]), ["month"]).select(
+        F.col("month").alias("latest_month"), F.col("converted_billions").alias("latest_converted_billions"))
+    return combine_rows([last, trailing_sum(converted, "month", "converted_billions", n)])
+
+
+def indicator_pivot(fact_ind: DataFrame, dim_country: DataFrame, countries, code: str = fv.OWNERSHIP_INDICATOR):
+    """Year x country table of one indicator (country names are a fixed, known list)."""
+    from quarry.operators.serving import pivot_series
+    f = join_dim(fact_ind.filter(F.col("indicator_code") == code), dim_country, "country_iso3")
+    return pivot_series(f, "year", "country_name", F.first("value"), countries).orderBy("year")
+
+
+def saturation(fact_mm: DataFrame, dim: DataFrame) -> DataFrame:
+    """Accounts against agents (thousands): first and last month of the series."""
+    from quarry.operators.serving import first_last, scale
+    f = join_dim(fact_mm, dim, "date_key").select(
+        F.lit(fv.HOME_COUNTRY).alias("country_iso3"), F.col("calendar_date").alias("month"),
+        "registered_accounts_millions", scale("active_agents", 1000.0).alias("active_agents_thousands"))
+    return first_last(f, ["country_iso3"], "month", ["registered_accounts_millions", "active_agents_thousands"])
+
+
+def silver_report(silver_log: DataFrame, mode: str = "latest") -> DataFrame:
+    """Per silver table: ``max`` of each figure over ok runs (as the published page did), or
+    the figures of the ``latest`` ok run."""
+    from quarry.operators.serving import max_by_group
+    ok = silver_log.filter(F.col("status") == "ok")
+    cols = ["built_at", "rows_in", "rows_clean", "rows_quarantined"]
+    if mode == "max":
+        return max_by_group(ok, "target_table", cols).orderBy("target_table")
+    return latest_per(ok, ["target_table"], ["built_at"], cols[1:]).orderBy("target_table")
+
+
+def quarantine_by_reason(quarantine: DataFrame) -> DataFrame:
+    from quarry.operators.serving import count_by
+    return count_by(quarantine, "reasons")
+
+
+def quarantine_sample(quarantine: DataFrame, n: int = 6) -> DataFrame:
+    from quarry.operators.serving import sample_rows
+    return sample_rows(quarantine.select("source", "reasons", "raw_payload", "_source_row_hash"),
+                       ["reasons", "source", "_source_row_hash"], n)
+
+
+def recon_report(recon: DataFrame, tolerance: float = fv.RECON_TOLERANCE) -> DataFrame:
+    return recon.select("year", "cbk_avg_rate", "worldbank_avg_rate", "cbk_trading_days", "relative_difference",
+                        (F.col("relative_difference") <= tolerance).alias("passed")).orderBy("year")

@@ -107,6 +107,28 @@ def test_whole_flow(spark):
     assert set(doc["fx"]["regional_units_per_kes"]) == {"UGX"}
     assert [m["month"] for m in doc["cico_value_ksh_billions_last_12m"]] == ["2016-09-01", "2016-10-01"]
     assert doc["account_ownership"]["TZA"]["as_of_year"] == 2021
+    # the remaining published queries
+    dim = gold["dim_date"]
+    assert V.latest_month(gold["fact_mobile_money"], dim).first()["calendar_date"] == dt.date(2016, 10, 1)
+    cov = V.coverage(gold["fact_exchange_rate"], dim).first()
+    assert (cov["min_calendar_date"], cov["max_calendar_date"], cov["n_rows"]) == (dt.date(2016, 10, 12), dt.date(2016, 10, 13), 4)
+    tot = V.totals(spark.table("meta.ingestion_log"), spark.table("silver.quarantine")).first()
+    assert tot["rows_quarantined"] == 6 and tot["rows_landed"] > 10
+    conv = V.convert_monthly(gold["fact_exchange_rate"], gold["fact_mobile_money"], dim)
+    assert [r["month"] for r in conv.collect()] == [dt.date(2016, 10, 1)]
+    rr = V.run_rate(conv).first()
+    assert rr["latest_month"] == dt.date(2016, 10, 1) and rr["n_periods"] == 1
+    piv = V.indicator_pivot(gold["fact_worldbank_indicator"], gold["dim_country"], ["Kenya", "Tanzania"]).collect()
+    assert [(r["year"], r["Kenya"], r["Tanzania"]) for r in piv] == [(2017, None, 46.8), (2021, 79.2, 52.4)]
+    sat = V.saturation(gold["fact_mobile_money"], dim).first()
+    assert sat["first_month"] == dt.date(2016, 9, 1) and sat["last_active_agents_thousands"] == 165.908
+    rep = {r["target_table"]: r for r in V.silver_report(spark.table("meta.silver_log")).collect()}
+    assert rep["silver.fx_rates_daily"]["rows_clean"] == 4
+    assert V.silver_report(spark.table("meta.silver_log"), "max").count() == 4
+    reasons = V.quarantine_by_reason(spark.table("silver.quarantine")).collect()
+    assert sum(r["n"] for r in reasons) == 6
+    assert V.quarantine_sample(spark.table("silver.quarantine")).count() == 6
+    assert V.recon_report(gold["recon_usd_rate_yearly"]).count() == 0   # no year has 200 days here
     out = os.path.join(d, "feed")
     V.write_feed(V.feed(gold["fact_exchange_rate"], gold["fact_mobile_money"], gold["fact_worldbank_indicator"],
                         gold["dim_date"], at), out)
