@@ -32,7 +32,7 @@ from quarry.sources.html_table import extract_html_table
 from quarry.operators.evidence import infer_date_order
 from quarry.sources.paged_json import flatten_paged_json, page_summary
 from quarry.sources.ragged_csv import parse_ragged_lines
-from quarry.sources.tabular import melt_wide, union_all
+from quarry.sources.tabular import literal_table, melt_wide, union_all
 
 # --- fixed values: run parameters of the analogue builds -------------------------------
 INGESTED_FIRST = dt.datetime(2026, 1, 1, 0, 0, 0)
@@ -208,7 +208,7 @@ def label_lookup(spark, d):
            .when(v == 2, F.concat(F.lit("  "), F.col("p_type"), F.lit("   grade\t")))
            .otherwise(F.concat(F.lower("p_type"), F.lit("  Grade"))))
     labels = p.select("p_partkey", raw.alias("label_raw"))
-    codes = spark.createDataFrame(TYPE_CODES, "label string, type_code string")
+    codes = literal_table(spark, TYPE_CODES, ["label", "type_code"])
     # normalised-label lookup; the code table is broadcast only because its size is proven small
     return sv.lookup(labels, "label_raw", codes).select("p_partkey", "label_raw", "label", "type_code")
 
@@ -405,10 +405,12 @@ def run_isolation(spark, d):
             parts.append(acc.select(F.lit(sdef.source).alias("source"), F.lit(sdef.silver_table).alias("target_table"),
                                     "*", F.lit("ok").alias("status"), F.lit(None).cast("string").alias("detail")))
         except Exception as exc:  # noqa: BLE001 - isolation: log and go on
-            err = spark.createDataFrame(
-                [(sdef.source, sdef.silver_table, 0, 0, 0, 0, "error", type(exc).__name__)],
-                "source string, target_table string, rows_in long, rows_clean long, rows_quarantined long, "
-                "rows_deduped long, status string, detail string")
+            err = literal_table(spark, [(sdef.source, sdef.silver_table, 0, 0, 0, 0, "error", type(exc).__name__)],
+                                ["source", "target_table", "rows_in", "rows_clean", "rows_quarantined",
+                                 "rows_deduped", "status", "detail"]).select(
+                "source", "target_table", *[F.col(c).cast("long") for c in
+                                            ["rows_in", "rows_clean", "rows_quarantined", "rows_deduped"]],
+                "status", "detail")
             parts.append(err)
     return union_all(parts)
 

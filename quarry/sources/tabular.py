@@ -50,3 +50,23 @@ def require_nonempty(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"{what} produced zero rows")
     return df
+
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_table(spark: SparkSession, rows, columns: Sequence[str]) -> DataFrame:
+    """A fixed, small table as an inline VALUES relation.
+
+    Unlike a frame parallelised from driver memory, a VALUES relation carries exact size
+    statistics, so the planner can prove it small and broadcast it without a hint.
+    """
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
