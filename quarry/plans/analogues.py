@@ -318,10 +318,10 @@ def validate_quarantine(spark, d):
     b = lineitem_bronze(spark, d)
     _, failed = split(validate(lineitem_transform(with_raw(b, payload_columns(b))), lineitem_spec(LINEITEM_AS_OF)))
     q = quarantine_rows(failed.withColumn(STATUS, F.lit("failed")), "lineitem", "silver.lineitem", INGESTED_SECOND)
-    return q.select("reasons", "_source_row_hash",
-                    F.get_json_object("raw_payload", "$.l_quantity_raw").alias("payload_quantity"),
-                    F.get_json_object("raw_payload", "$.l_shipdate_raw").alias("payload_shipdate"),
-                    F.get_json_object("raw_payload", "$.l_tax_raw").alias("payload_tax"))
+    payload = F.from_json("raw_payload", "l_quantity_raw string, l_shipdate_raw string, l_tax_raw string")
+    return q.select("reasons", "_source_row_hash", payload.alias("p")).select(
+        "reasons", "_source_row_hash", F.col("p.l_quantity_raw").alias("payload_quantity"),
+        F.col("p.l_shipdate_raw").alias("payload_shipdate"), F.col("p.l_tax_raw").alias("payload_tax"))
 
 
 def quarantine_by_reason(spark, d):
