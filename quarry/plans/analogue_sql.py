@@ -282,6 +282,10 @@ FROM part WHERE p_partkey % 31 <> 0
 UNION ALL
 SELECT p_partkey, NULL, NULL, NULL, NULL, NULL, 'table headers changed: [''Key'', ''Label'', ''Brand'', ''Size'']'
 FROM part WHERE p_partkey % 31 = 0"""
+    q["html_page_scan"] = """
+SELECT page_id, CAST(NULL AS INTEGER) AS row_number, CAST(NULL AS VARCHAR) AS key_raw, CAST(NULL AS VARCHAR) AS name_raw,
+       CAST(NULL AS VARCHAR) AS brand_raw, CAST(NULL AS VARCHAR) AS size_raw, 'table#parts not found' AS error
+FROM pages WHERE html NOT ILIKE '%<table%'"""
     q["melt_wide"] = """
 SELECT strftime(date_trunc('quarter', o_orderdate), '%d/%m/%Y') AS period_raw, o_orderstatus,
        c_mktsegment AS segment, CAST(count(*) AS VARCHAR) AS value_raw

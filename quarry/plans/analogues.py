@@ -179,6 +179,14 @@ def html_rows(spark, d):
                               id_col="p_partkey", on_error="quarantine")
 
 
+def html_page_scan(spark, d):
+    """The extractor over the supplied raw web pages (whole documents); pages without the
+    wanted table are reported, not dropped."""
+    pages = table(spark, d, "pages", heavy=True).select("page_id", "html")
+    return extract_html_table(pages, "html", "parts", HTML_HEADERS, HTML_COLUMNS, id_col="page_id",
+                              on_error="quarantine")
+
+
 def melt_wide_q(spark, d):
     o = table(spark, d, "orders")
     c = table(spark, d, "customer")
@@ -654,6 +662,7 @@ QUERIES = {
     "page_check": page_check,
     "date_order_evidence": date_order_evidence,
     "html_rows": html_rows,
+    "html_page_scan": html_page_scan,
     "melt_wide": melt_wide_q,
     "union_sources": union_sources,
     "label_lookup": label_lookup,
