@@ -70,12 +70,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path inside the shared checkpoint folder, for materialised intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "quarry-scratch", name)
-
-
 def ensure_databases(spark: SparkSession, names=("bronze", "silver", "gold", "meta")) -> None:
     """Create the layer namespaces when absent."""
     for n in names:
