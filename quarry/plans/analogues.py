@@ -308,7 +308,7 @@ def lineitem_spec(as_of: dt.date) -> TableSpec:
 
 
 LINEITEM = SourceDef("lineitem", "bronze.lineitem", "silver.lineitem", ("l_orderkey", "l_linenumber"),
-                     lineitem_transform, lineitem_spec)
+                     lineitem_transform, lineitem_spec, tuple(LINEITEM_RAW))
 
 
 def lineitem_classified(spark, d) -> DataFrame:
@@ -393,7 +393,8 @@ def orders_spec(as_of: dt.date) -> TableSpec:
     ))
 
 
-ORDERS = SourceDef("orders", "bronze.orders", "silver.orders", ("o_orderkey",), orders_transform, orders_spec)
+ORDERS = SourceDef("orders", "bronze.orders", "silver.orders", ("o_orderkey",), orders_transform, orders_spec,
+                   tuple(ORDERS_RAW))
 
 
 def dedup_collapse(spark, d):
@@ -403,7 +404,7 @@ def dedup_collapse(spark, d):
 def run_isolation(spark, d):
     """Accounting of three source builds, one of which cannot be planned (missing column)."""
     broken = SourceDef("orders_broken", "bronze.orders_broken", "silver.orders_broken", ("o_orderkey",),
-                       orders_transform, orders_spec)
+                       orders_transform, orders_spec, tuple(ORDERS_RAW))
     builds = [(LINEITEM, lineitem_bronze(spark, d), LINEITEM_AS_OF), (ORDERS, orders_bronze(spark, d), ORDERS_AS_OF),
               (broken, orders_bronze(spark, d).drop("o_totalprice_raw"), ORDERS_AS_OF)]
     parts = []

@@ -12,12 +12,19 @@ the standard-library parser; Spark distributes the pages, one page per parser ca
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+# The per-page parser runs in Python workers. Shipping this module's code by value means the
+# workers need neither this package installed nor it on their path (it only uses the
+# standard library and pandas).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class _TableScan(HTMLParser):
     def __init__(self, table_id: str):
