@@ -90,7 +90,8 @@ def join_dim(fact: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-null ``fk`` has no parent (referential test)."""
-    keys = parent.select(F.col(pk).alias(fk)).distinct()
+    # an anti join never multiplies rows, so the parent keys need no de-duplication pass
+    keys = parent.select(F.col(pk).alias(fk))
     return child.filter(F.col(fk).isNotNull()).join(keys, on=fk, how="left_anti")
 
 
