@@ -433,7 +433,7 @@ def unit_normalize(spark, d):
     basis = (F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.lit("OTHER"))
              .when(F.col("l_returnflag") == "R", F.lit(fv.UNITS_PER_HOME)).otherwise(F.lit(fv.HOME_PER_UNIT)))
     units = F.when(F.col("l_linenumber") == 1, F.lit(100)).otherwise(F.lit(1)).cast("long")
-    mean = F.col("l_extendedprice") / F.col("l_quantity")
+    mean = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
     q = li.select("l_orderkey", "l_linenumber", basis.alias("quote_basis"), units.alias("units_per_quote"),
                   mean.alias("mean_rate"), (mean * (F.lit(1) - F.col("l_discount"))).alias("buy_rate"),
                   (mean * (F.lit(1) + F.col("l_tax"))).alias("sell_rate"))
@@ -502,8 +502,8 @@ def recon_df(spark, d) -> DataFrame:
     days = li.groupBy(F.col("l_shipdate").cast("date").alias("day")).agg(
         F.sum("l_extendedprice").alias("s"), F.count(F.lit(1)).alias("n"))
     days = days.withColumn("year", F.year("day"))
-    daily = days.select("year", (F.col("s") / F.col("n")).alias("daily_mean"))
-    annual = days.groupBy("year").agg((F.sum("s") / F.sum("n")).alias("annual_mean"))
+    daily = days.select("year", F.try_divide(F.col("s"), F.col("n")).alias("daily_mean"))
+    annual = days.groupBy("year").agg(F.try_divide(F.sum("s"), F.sum("n")).alias("annual_mean"))
     out = reconcile(daily, annual, "year", "daily_mean", "annual_mean", fv.MIN_COVERAGE_DAYS, fv.RECON_TOLERANCE,
                     names=("daily_avg_rate", "annual_avg_rate", "trading_days"))
     return out
@@ -564,22 +564,22 @@ def trailing_12(spark, d):
 def convert_monthly_exact(spark, d) -> DataFrame:
     li = table(spark, d, "lineitem")
     rate = sv.period_mean(li.select(F.trunc("l_shipdate", "month").alias("month_start"),
-                                    (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price")),
+                                    F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price")),
                           "month_start", "unit_price", "unit_rate")
     value = monthly_order_value(spark, d).withColumnRenamed("month_start", "month")
     j = value.join(rate, value.month == rate.month_start)
-    return j.select("month", "value", "unit_rate", (F.col("value") / F.col("unit_rate")).alias("converted"))
+    return j.select("month", "value", "unit_rate", F.try_divide(F.col("value"), F.col("unit_rate")).alias("converted"))
 
 
 def convert_monthly(spark, d):
     li = table(spark, d, "lineitem")
     rate = sv.period_mean(li.select(F.trunc("l_shipdate", "month").alias("month_start"),
-                                    (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price")),
+                                    F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price")),
                           "month_start", "unit_price", "unit_rate")
     value = monthly_order_value(spark, d).withColumnRenamed("month_start", "month")
     j = value.join(rate, value.month == rate.month_start)
     return j.select("month", F.round("value", 2).alias("value"), F.round("unit_rate", 6).alias("unit_rate"),
-                    F.round(F.col("value") / F.col("unit_rate"), 6).alias("converted"))
+                    F.round(F.try_divide(F.col("value"), F.col("unit_rate")), 6).alias("converted"))
 
 
 def run_rate(spark, d):

@@ -94,7 +94,7 @@ def convert_monthly(fact_fx: DataFrame, fact_mm: DataFrame, dim: DataFrame, code
     mm = join_dim(fact_mm, dim, "date_key").select("calendar_date", "agent_cico_value_ksh_billions")
     j = mm.join(monthly, mm.calendar_date == monthly.month_start)
     return j.select(F.col("calendar_date").alias("month"), "agent_cico_value_ksh_billions", "kes_per_unit",
-                    (F.col("agent_cico_value_ksh_billions") / F.col("kes_per_unit")).alias("converted_billions"))
+                    F.try_divide(F.col("agent_cico_value_ksh_billions"), F.col("kes_per_unit")).alias("converted_billions"))
 
 
 def run_rate(converted: DataFrame, n: int = 12) -> DataFrame:
