@@ -81,9 +81,11 @@ def spread(df, min_partitions: int | None = None, min_bytes: int = 1 << 20):
 
     A file written as one row group is read as one task however big it is. When the input
     has fewer partitions than the session's default parallelism and its estimated size is
-    above ``min_bytes``, it is hash-partitioned on all its columns (deterministic under task
-    retries, unlike a round-robin without a sort). Inputs that are already split finer than
-    the parallelism (any large table on a cluster) are returned untouched.
+    above ``min_bytes``, it is dealt round-robin over ``target`` partitions. Round-robin keeps
+    partitions even when a third of the rows are identical (hashing the columns would send
+    them all to one partition), and Spark sorts each input partition locally before dealing,
+    so a retried task receives the same rows. Inputs that are already split finer than the
+    parallelism (any large table on a cluster) are returned untouched.
     """
     try:
         spark = df.sparkSession
@@ -95,4 +97,4 @@ def spread(df, min_partitions: int | None = None, min_bytes: int = 1 << 20):
         return df
     if size < min_bytes:
         return df
-    return df.repartition(target, *[df[f"`{c}`"] for c in df.columns])
+    return df.repartition(target)
