@@ -654,6 +654,20 @@ def feed_document(spark, d):
                       F.element_at("trend", -1)["value"].alias("trend_last_value"))
 
 
+# Survey operator IDs exercised by each registered query:
+#   land_first_batch SNK1 STR6 PRJ4 | land_incremental JN5 FLT7 AG14 | ragged_fold SRC1 STR9 FLT5
+#   json_flatten SRC2 JS1 | json_array_explode SRC2 FLT6 AR1 | page_check SRC4
+#   date_order_evidence JN10 | html_rows, html_page_scan SRC5 | melt_wide SRC6 FLT4 PRJ2
+#   union_sources SRC3 ST1 | label_lookup STR1 JN7 | mixed_dates DT1 DT2 | month_names STR5 DT3
+#   number_parse STR3 STR4 MT7 | validate_clean VQ1-VQ5 | validate_quarantine VQ4 VQ7 AG8 JS2 JS3
+#   quarantine_by_reason AG6 QY14 | quarantine_sample SL4 QY15 | dedup_collapse VQ8 WN3
+#   conflict_quarantine VQ9 WN4 | silver_accounting AG13 ST2 ST3 | unit_normalize GD1 PRJ9 MT1 MT2
+#   dim_date GD3 AG4 JN9 DT4-DT8 | dims GD4 JN1 | fact_* GD2 GD5-GD8 PRJ3
+#   recon_yearly GD9 JN2 FLT3 MT3 QY16 | data_tests DQ1-DQ6 JN6 AG12
+#   latest_row QY1 QY3 SL1 | latest_per_group QY2 QY5 WN1 WN2 | trailing_12 QY4 SL2
+#   convert_monthly QY9 AG2 JN3 | run_rate QY10 AG9 | pivot_series QY11 AG10 JN4
+#   first_last QY12 SL5 MT6 | coverage_span QY7 QY8 AG3 AG5 | silver_report QY13 AG7
+#   feed_document QY6 MP1 SNK9 | run_isolation TR5 TR6 SNK7
 QUERIES = {
     "land_first_batch": land_first_batch,
     "land_incremental": land_incremental,
