@@ -135,6 +135,8 @@ def land(spark: SparkSession, df: DataFrame, source: str, table: str,
     target's hashes, counted, and the unseen groups are written. Both counts are observed
     after the last shuffle, i.e. in the result stage, where Spark applies each task's
     metric update exactly once even when tasks or executors are lost and work is redone.
+    One lander per table at a time (as with any plain Parquet table there is no transaction
+    between concurrent appenders); a replayed batch inserts nothing.
     """
     started_at = started_at or utc_now()
     counts = Observation("landing")
