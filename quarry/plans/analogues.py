@@ -64,7 +64,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> D
 
 def dec2(c) -> Column:
     """Two-decimal text rendering of a number (same text in every engine)."""
-    return F.col(c).cast("decimal(18,2)").cast("string") if isinstance(c, str) else c.cast("decimal(18,2)").cast("string")
+    col = F.col(c) if isinstance(c, str) else c
+    return col.cast("decimal(18,2)").cast("string")
 
 
 def iso(c) -> Column:
