@@ -56,9 +56,28 @@ def feed(fact_fx: DataFrame, fact_mm: DataFrame, fact_ind: DataFrame, dim: DataF
                       F.col("cico_value_ksh_billions_last_12m"), F.col("account_ownership"))
 
 
-def write_feed(doc: DataFrame, path: str) -> None:
-    """Write the one-row document as a single JSON file folder."""
-    doc.coalesce(1).write.mode("overwrite").json(path)
+def write_feed(doc: DataFrame, path: str) -> str:
+    """Write the one-row document as ONE JSON file at ``path`` (e.g. ``.../latest.json``).
+
+    The row is written to a sibling working folder, then its single part file is renamed
+    into place through the Hadoop file system API (local disk, HDFS or an object store).
+    """
+    work = path.rstrip("/") + ".writing"
+    doc.coalesce(1).write.mode("overwrite").json(work)
+    spark = doc.sparkSession
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(work).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = [st.getPath() for st in fs.listStatus(Path(work)) if st.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise RuntimeError(f"expected one part file in {work}, found {len(parts)}")
+    target = Path(path)
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(parts[0], target):
+        raise RuntimeError(f"could not move the feed to {path}")
+    fs.delete(Path(work), True)
+    return path
 
 
 # ---------------------------------------------------------------------------------------

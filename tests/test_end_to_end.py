@@ -129,7 +129,12 @@ def test_whole_flow(spark):
     assert sum(r["n"] for r in reasons) == 6
     assert V.quarantine_sample(spark.table("silver.quarantine")).count() == 6
     assert V.recon_report(gold["recon_usd_rate_yearly"]).count() == 0   # no year has 200 days here
-    out = os.path.join(d, "feed")
-    V.write_feed(V.feed(gold["fact_exchange_rate"], gold["fact_mobile_money"], gold["fact_worldbank_indicator"],
-                        gold["dim_date"], at), out)
-    assert any(n.endswith(".json") for n in os.listdir(out))
+    out = os.path.join(d, "feed", "latest.json")
+    os.makedirs(os.path.dirname(out))
+    for _ in range(2):      # a rewrite replaces the document
+        V.write_feed(V.feed(gold["fact_exchange_rate"], gold["fact_mobile_money"], gold["fact_worldbank_indicator"],
+                            gold["dim_date"], at), out)
+    with open(out) as f:
+        written = json.loads(f.read())
+    assert written["fx"]["kes_per_usd"]["as_of"] == "2016-10-13" and written["schema_version"] == 1
+    assert [n for n in os.listdir(os.path.dirname(out)) if not n.startswith(".")] == ["latest.json"]
