@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.scalar import row_hash
+from quarry.session import estimated_bytes
 
 HASH = "_source_row_hash"
 META_COLUMNS = ["_source", "_ingested_at", HASH]
@@ -111,9 +112,8 @@ def bucket_count(df: DataFrame) -> int:
     """Buckets for a new bronze table: a power of two sized from the first batch's estimated
     bytes (times a growth allowance), between MIN_BUCKETS and MAX_BUCKETS, so one bucket of
     one write stays a few hundred megabytes."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no plan statistics available: assume a large table
+    size = estimated_bytes(df)
+    if size is None:          # no estimate: assume a large table
         return MAX_BUCKETS // 16
     want = max(1, (size * GROWTH) // TARGET_BUCKET_BYTES)
     n = MIN_BUCKETS

@@ -133,11 +133,9 @@ def drop_blank_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def broadcast_if_small(df: DataFrame, max_bytes: int = 8 * 1024 * 1024) -> DataFrame:
     """Broadcast hint only when the planner's size estimate proves the side small;
     otherwise the frame is returned as is and the join stays a shuffle join."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: do not hint
-        return df
-    return F.broadcast(df) if size <= max_bytes else df
+    from quarry.session import estimated_bytes
+    size = estimated_bytes(df)
+    return F.broadcast(df) if size is not None and size <= max_bytes else df
 
 
 def lookup(df: DataFrame, label: str, mapping: DataFrame, key: str = "label") -> DataFrame:

@@ -76,6 +76,15 @@ def ensure_databases(spark: SparkSession, names=("bronze", "silver", "gold", "me
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {n}")
 
 
+def estimated_bytes(df) -> int | None:
+    """The optimizer's size estimate of a plan (the statistic Spark itself compares with
+    ``spark.sql.autoBroadcastJoinThreshold``); None when no estimate is available."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - e.g. a remote session without a JVM handle
+        return None
+
+
 def spread(df, min_partitions: int | None = None, min_bytes: int = 1 << 20):
     """Give a large-but-unsplittable input enough partitions to use every core.
 
@@ -88,13 +97,12 @@ def spread(df, min_partitions: int | None = None, min_bytes: int = 1 << 20):
     parallelism (any large table on a cluster) are returned untouched.
     """
     try:
-        spark = df.sparkSession
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        if df._jdf.rdd().getNumPartitions() >= target:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
             return df
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): leave the plan as is
+    except Exception:  # noqa: BLE001 - no partition information: leave the plan as is
         return df
-    if size < min_bytes:
+    size = estimated_bytes(df)
+    if size is None or size < min_bytes:
         return df
     return df.repartition(target)
