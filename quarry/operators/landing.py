@@ -161,8 +161,9 @@ def land(spark: SparkSession, df: DataFrame, source: str, table: str,
     if exists:
         batch.select(*target.columns).write.insertInto(table)
     else:
+        # an external table at a versioned folder, so a later compaction can re-point it
         (batch.write.format("parquet").bucketBy(buckets or bucket_count(df), HASH).sortBy(HASH)
-         .saveAsTable(table))
+         .option("path", _version_path(spark, table)).saveAsTable(table))
     spark.catalog.refreshTable(table)
     got = counts.get
     received, inserted = int(got.get("received") or 0), int(got.get("inserted") or 0)
@@ -172,6 +173,38 @@ def land(spark: SparkSession, df: DataFrame, source: str, table: str,
     return result
 
 
+def _version_path(spark: SparkSession, table: str) -> str:
+    import time
+    base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/quarry_versions/" + table.replace(".", "/")
+    return f"{base}/v{time.time_ns()}"
+
+
+def compact_bronze(spark: SparkSession, table: str, keep: int = 2) -> str:
+    """Rewrite a bronze table into its buckets at a new version folder and re-point it.
+
+    Every landing appends files to each bucket; compaction bounds the file count. The rows
+    are read from the current version and written bucketed and sorted exactly as on
+    creation (same bucket count), the table is pointed at the new folder, and only the
+    newest ``keep`` versions are kept. Landers must not run during a compaction.
+    """
+    from quarry.plans.silver import prune_versions
+    meta = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    spec = {r["col_name"]: r["data_type"] for r in meta}
+    n = int(spec.get("Num Buckets", "0") or 0)
+    if not n:
+        raise ValueError(f"{table} is not a bucketed bronze table")
+    loc = _version_path(spark, table)
+    tmp = f"{table}__compacting"
+    spark.sql(f"DROP TABLE IF EXISTS {tmp}")
+    (spark.table(table).write.format("parquet").bucketBy(n, HASH).sortBy(HASH)
+     .option("path", loc).saveAsTable(tmp))
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{loc}'")
+    spark.sql(f"DROP TABLE {tmp}")                        # external: its files stay
+    spark.catalog.refreshTable(table)
+    prune_versions(spark, loc.rsplit("/", 1)[0], keep)
+    return loc
+
+
 def log_failure(spark: SparkSession, source: str, table: str, error: str,
                 log_table: str = "meta.ingestion_log", at: dt.datetime | None = None) -> None:
     """Record a failed extraction: zero counts, message cut at 2000 characters."""

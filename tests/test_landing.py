@@ -64,3 +64,22 @@ def test_bucketed_target_is_not_shuffled_by_the_anti_join(spark, fresh_db):
         ._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert scans and all("Bucketed: true" in line for line in scans)
+
+
+def test_compaction_keeps_rows_buckets_and_idempotence(spark, fresh_db):
+    from quarry.operators.landing import compact_bronze
+    t = f"{fresh_db['bronze']}.t"
+    log = f"{fresh_db['meta']}.ingestion_log"
+    for i in range(3):
+        land(spark, frame(spark, [(str(j), str(i)) for j in range(20)]), "s", t, log_table=log)
+    before = sorted(tuple(r) for r in spark.table(t).select("a", "b", "_source_row_hash").collect())
+    compact_bronze(spark, t)
+    after = sorted(tuple(r) for r in spark.table(t).select("a", "b", "_source_row_hash").collect())
+    assert before == after and len(after) == 60
+    again = land(spark, frame(spark, [("0", "0"), ("new", "x")]), "s", t, log_table=log)
+    assert again.rows_inserted == 1 and spark.table(t).count() == 61
+    import datetime as dt
+    from quarry.operators.landing import new_rows
+    plan = new_rows(frame(spark, [("1", "x")]), "s", dt.datetime(2026, 1, 2), spark.table(t)) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert all("Bucketed: true" in line for line in plan.splitlines() if "FileScan" in line)
