@@ -49,3 +49,14 @@ def test_classification_parses_bronze_once(spark):
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in final
     assert final.count("ReusedExchange") >= 1
+
+
+def test_no_query_plans_cross_joins_or_stray_python(spark):
+    import __spark_entry__ as E
+    python_ok = {"html_rows", "html_page_scan"}
+    for name, fn in E.queries().items():
+        p = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p, name
+        assert "Window" not in p, name
+        has_python = any(k in p for k in ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "PythonUDF"))
+        assert has_python == (name in python_ok), name
