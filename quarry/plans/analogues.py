@@ -15,7 +15,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import (date_key, invert_quote, month_number, month_start, norm_label,
+from quarry.functions.scalar import (date_key, invert_quote, month_number, month_start,
                                      parse_date, row_hash, to_long, to_number)
 from quarry.functions import fixed_values as fv
 from quarry.operators import serving as sv

@@ -1,8 +1,6 @@
 import datetime as dt
 import hashlib
 
-from pyspark.sql import functions as F
-
 from quarry.functions import fixed_values as fv
 from quarry.functions.scalar import (date_key, invert_quote, month_name, month_number, norm_label, parse_date,
                                      row_hash, strip, to_long, to_number)
