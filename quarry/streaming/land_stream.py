@@ -10,6 +10,7 @@ scheduled runs; the checkpoint must live on shared storage.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,15 @@ from quarry.session import ensure_checkpoint_dir
 
 def land_stream(spark: SparkSession, path: str, schema: str, source: str, table: str,
                 fmt: str = "csv", options: dict | None = None, checkpoint: str | None = None,
-                log_table: str = "meta.ingestion_log", available_now: bool = True):
-    """Start (and, with ``available_now``, finish) a stream landing files into ``table``."""
+                log_table: str = "meta.ingestion_log", available_now: bool = True,
+                transform: Callable[[DataFrame], DataFrame] | None = None):
+    """Start (and, with ``available_now``, finish) a stream landing files into ``table``.
+
+    ``transform`` is applied to each micro-batch before landing, e.g. reading raw lines
+    (``fmt="text"``, ``schema="value string"``) and parsing them with
+    :func:`quarry.sources.parse_ragged_lines`, which keeps overflow fields and empty fields
+    that a CSV reader would lose.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
@@ -29,7 +37,8 @@ def land_stream(spark: SparkSession, path: str, schema: str, source: str, table:
     checkpoint = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "quarry-streams", table.replace(".", "_"))
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        land(batch.sparkSession, batch.select(*[F.col(f"`{c}`") for c in batch.columns]), source, table,
+        rows = transform(batch) if transform else batch
+        land(batch.sparkSession, rows.select(*[F.col(f"`{c}`") for c in rows.columns]), source, table,
              log_table=log_table)
 
     writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)

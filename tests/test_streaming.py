@@ -20,3 +20,19 @@ def test_stream_lands_new_files_once(spark, fresh_db):
     assert spark.table(t).count() == 3
     land_stream(spark, src, schema, "cbk_fx_csv", t, checkpoint=ck, log_table=log)
     assert spark.table(t).count() == 3
+
+
+def test_stream_of_raw_lines_uses_the_ragged_parser(spark, fresh_db):
+    from quarry.functions import fixed_values as fv
+    from quarry.sources import parse_ragged_lines
+    src, ck = tempfile.mkdtemp(), tempfile.mkdtemp()
+    t, log = f"{fresh_db['bronze']}.fx", f"{fresh_db['meta']}.ingestion_log"
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write('2024-01-03,"KES / USHS",33.6,33.5,33.7\n\na,b,c,d,e,,g\nbadrow,onlytwo\n')
+    land_stream(spark, src, "value string", "cbk_fx_csv", t, fmt="text", checkpoint=ck, log_table=log,
+                transform=lambda b: parse_ragged_lines(b, fv.FX_COLUMNS))
+    rows = {r["date_raw"]: r for r in spark.table(t).collect()}
+    assert len(rows) == 3
+    assert rows["2024-01-03"]["currency_raw"] == "KES / USHS"
+    assert rows["a"]["sell_raw"] == "e,,g"
+    assert rows["badrow"]["mean_raw"] is None
