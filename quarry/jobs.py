@@ -6,6 +6,7 @@ the feed. Each step is an ordinary Spark application (``spark-submit -m`` or ``p
     python -m quarry.jobs gold
     python -m quarry.jobs feed   --out PATH/latest.json
     python -m quarry.jobs all    (every option above)
+    python -m quarry.jobs stream --fx-dir DIR [--checkpoint PATH]   (new FX files, landed once)
 
 A failing source is logged and the run goes on; the exit status is non-zero when any source
 or any data test failed.
@@ -95,9 +96,19 @@ def feed(spark: SparkSession, out: str) -> str:
                                  g["dim_date"], utc_now().isoformat(timespec="seconds")), out)
 
 
+def stream_fx(spark: SparkSession, folder: str, checkpoint: str | None) -> None:
+    """Land new headerless FX files from ``folder`` (each file once; replays insert nothing)."""
+    from quarry.sources import parse_ragged_lines
+    from quarry.streaming import land_stream
+    land_stream(spark, folder, "value string", "cbk_fx_csv", "bronze.cbk_fx_rates", fmt="text",
+                checkpoint=checkpoint, transform=lambda b: parse_ragged_lines(b, fv.FX_COLUMNS))
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="quarry.jobs")
-    ap.add_argument("step", choices=["land", "silver", "gold", "feed", "all"])
+    ap.add_argument("step", choices=["land", "silver", "gold", "feed", "all", "stream"])
+    ap.add_argument("--fx-dir")
+    ap.add_argument("--checkpoint")
     ap.add_argument("--master")
     ap.add_argument("--fx")
     ap.add_argument("--indicator")
@@ -115,6 +126,9 @@ def main(argv: list[str] | None = None) -> int:
         bad += silver(spark, a.as_of, a.parallel)
     if a.step in ("gold", "all"):
         bad += gold(spark)
+    if a.step == "stream" and a.fx_dir:
+        stream_fx(spark, a.fx_dir, a.checkpoint)
+        print(f"bronze.cbk_fx_rates: {spark.table('bronze.cbk_fx_rates').count()} rows")
     if a.step in ("feed", "all") and a.out:
         print(f"feed written to {feed(spark, a.out)}")
     return 1 if bad else 0

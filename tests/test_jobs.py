@@ -37,3 +37,19 @@ def test_jobs_run_all_steps():
     assert "data tests: 32 of 32 passed" in r.stdout
     with open(out) as f:
         assert json.load(f)["fx"]["kes_per_usd"]["as_of"] == "2016-10-13"
+
+
+def test_jobs_stream_step_lands_new_files_once():
+    d = tempfile.mkdtemp()
+    os.makedirs(os.path.join(d, "in"))
+    with open(os.path.join(d, "in", "a.csv"), "w") as f:
+        f.write(FX_LINES)
+    env = dict(os.environ, PYTHONPATH=REPO)
+    code = ("import sys; from quarry.session import get_spark; "
+            f"get_spark('local[4]', 4, extra={{'spark.sql.warehouse.dir': {d + '/wh'!r}}}); "
+            "from quarry.jobs import main; "
+            f"args = ['stream', '--fx-dir', {d + '/in'!r}, '--checkpoint', {d + '/ck'!r}]; "
+            "main(args); main(args)")
+    r = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600, env=env, cwd=d)
+    assert r.returncode == 0, r.stderr[-3000:]
+    assert r.stdout.count("bronze.cbk_fx_rates: 10 rows") == 2
