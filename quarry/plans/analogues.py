@@ -77,11 +77,13 @@ def iso(c) -> Column:
 
 
 def land_first_batch(spark, d):
+    """Documents (text, lang, source) as a first landing: metadata, content hash, in-batch repeats collapsed."""
     docs = table(spark, d, "documents", heavy=True).select("text", "lang", "source")
     return new_rows(docs, "documents", INGESTED_FIRST)
 
 
 def land_incremental(spark, d):
+    """Orders landed in two overlapping date batches: the second batch's received / inserted / skipped."""
     orders = table(spark, d, "orders")
     first = orders.filter(F.col("o_orderdate") < F.lit(dt.datetime(1999, 1, 1)))
     second = orders.filter(F.col("o_orderdate") >= F.lit(dt.datetime(1998, 1, 1)))
@@ -106,10 +108,12 @@ def ragged_lines(spark, d) -> DataFrame:
 
 
 def ragged_fold(spark, d):
+    """Part rows rendered as headerless lines of 3 to 7 fields (one quoted with a comma), parsed back."""
     return parse_ragged_lines(ragged_lines(spark, d), RAGGED_COLUMNS)
 
 
 def json_flatten(spark, d):
+    """Event properties read as paged records; a number keeps its source text, a missing path is null."""
     ev = table(spark, d, "events", heavy=True)
     return flatten_paged_json(
         ev.select("event_id", "event_type", F.concat(F.lit("[{}, ["), F.col("props"), F.lit("]]")).alias("value")),
@@ -144,10 +148,12 @@ PAGED_FIELDS = {
 
 
 def json_array_explode(spark, d):
+    """One paged document per order (null record lists, error envelopes), flattened to rows."""
     return flatten_paged_json(paged_documents(spark, d), PAGED_FIELDS, keep=("o_orderkey",))
 
 
 def page_check(spark, d):
+    """Page-envelope summary of the paged order documents."""
     return page_summary(paged_documents(spark, d))
 
 
@@ -176,6 +182,7 @@ def html_pages(spark, d) -> DataFrame:
 
 
 def html_rows(spark, d):
+    """One HTML page per part (a decoy table, padded cells, some changed headers), table rows extracted."""
     return extract_html_table(html_pages(spark, d), "html", "parts", HTML_HEADERS, HTML_COLUMNS,
                               id_col="p_partkey", on_error="quarantine")
 
@@ -189,6 +196,7 @@ def html_page_scan(spark, d):
 
 
 def melt_wide_q(spark, d):
+    """Quarterly order counts per segment as a wide sheet with blank cells, melted back to long rows."""
     o = table(spark, d, "orders")
     c = table(spark, d, "customer")
     j = o.join(c, o.o_custkey == c.c_custkey)
@@ -201,6 +209,7 @@ def melt_wide_q(spark, d):
 
 
 def union_sources(spark, d):
+    """Customer and supplier balances as one frame."""
     c = table(spark, d, "customer").select(F.lit("customer").alias("party"), F.col("c_custkey").alias("party_key"),
                                            F.col("c_name").alias("name"), F.col("c_nationkey").alias("nationkey"),
                                            F.col("c_acctbal").alias("acctbal"))
@@ -211,6 +220,7 @@ def union_sources(spark, d):
 
 
 def label_lookup(spark, d):
+    """Noisy part-type labels (case, runs of blanks, tabs) normalised and mapped to codes."""
     p = table(spark, d, "part")
     v = (F.col("p_partkey") % 4).cast("int")
     raw = (F.when(v == 0, F.col("p_type")).when(v == 1, F.lower("p_type"))
@@ -223,6 +233,7 @@ def label_lookup(spark, d):
 
 
 def mixed_dates(spark, d):
+    """Order dates rendered ISO, day-first or as junk, parsed back."""
     o = table(spark, d, "orders")
     v = (F.col("o_orderkey") % 3).cast("int")
     raw = (F.when(v == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
@@ -231,6 +242,7 @@ def mixed_dates(spark, d):
 
 
 def month_names(spark, d):
+    """Order month names in mixed case and padding (plus junk) to the first of the month."""
     o = table(spark, d, "orders")
     v = (F.col("o_orderkey") % 4).cast("int")
     name = F.date_format("o_orderdate", "MMMM")
@@ -242,6 +254,7 @@ def month_names(spark, d):
 
 
 def number_parse(spark, d):
+    """Order prices with thousands separators, plain, and junk (n/a, NaN, 1d) parsed; truncation to units."""
     o = table(spark, d, "orders")
     v = (F.col("o_orderkey") % 5).cast("int")
     raw = (F.when(v == 0, F.format_number("o_totalprice", 2)).when(v == 1, dec2("o_totalprice"))
@@ -317,11 +330,13 @@ def lineitem_classified(spark, d) -> DataFrame:
 
 
 def validate_clean(spark, d):
+    """Lineitem with injected faults: the rows passing every check, typed."""
     clean, _ = split(validate(lineitem_transform(lineitem_bronze(spark, d)), lineitem_spec(LINEITEM_AS_OF)))
     return clean.drop("_source", "_ingested_at")
 
 
 def validate_quarantine(spark, d):
+    """Lineitem with injected faults: failed rows with all reasons and fields of the original payload."""
     from quarry.operators.quarantine import with_raw
     from quarry.operators.landing import payload_columns
     b = lineitem_bronze(spark, d)
@@ -334,16 +349,19 @@ def validate_quarantine(spark, d):
 
 
 def quarantine_by_reason(spark, d):
+    """Quarantined lineitem rows (failed and conflicting) counted per reason."""
     q = quarantine_rows(lineitem_classified(spark, d), "lineitem", "silver.lineitem", INGESTED_SECOND)
     return sv.count_by(q, "reasons")
 
 
 def quarantine_sample(spark, d):
+    """The first six quarantined rows by reason, source and hash."""
     q = quarantine_rows(lineitem_classified(spark, d), "lineitem", "silver.lineitem", INGESTED_SECOND)
     return q.orderBy("reasons", "source", "_source_row_hash").limit(6).select("source", "reasons", "_source_row_hash")
 
 
 def conflict_quarantine(spark, d):
+    """Lineitem business keys with more than one version: every surviving version."""
     c = lineitem_classified(spark, d)
     return c.filter(F.col(STATUS) == "conflict").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate", "_source_row_hash",
@@ -351,6 +369,7 @@ def conflict_quarantine(spark, d):
 
 
 def silver_accounting(spark, d):
+    """Rows in / clean / quarantined / deduped of the lineitem build."""
     return accounting(lineitem_classified(spark, d))
 
 
@@ -399,6 +418,7 @@ ORDERS = SourceDef("orders", "bronze.orders", "silver.orders", ("o_orderkey",),
 
 
 def dedup_collapse(spark, d):
+    """Orders republished in a second date format: exact copies collapse, revised orders are excluded."""
     return silver_rows(classify(orders_bronze(spark, d), ORDERS, ORDERS_AS_OF))
 
 
@@ -430,6 +450,7 @@ def run_isolation(spark, d):
 
 
 def unit_normalize(spark, d):
+    """Unit prices under two quote conventions and lot sizes, normalised (bid and ask swapped on inversion)."""
     li = table(spark, d, "lineitem")
     basis = (F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.lit("OTHER"))
              .when(F.col("l_returnflag") == "R", F.lit(fv.UNITS_PER_HOME)).otherwise(F.lit(fv.HOME_PER_UNIT)))
@@ -450,6 +471,7 @@ def dim_date_df(spark, d) -> DataFrame:
 
 
 def dim_date(spark, d):
+    """Calendar spine over the date range of orders, lineitem and events."""
     return dim_date_df(spark, d)
 
 
@@ -460,6 +482,7 @@ def dims_df(spark, d) -> DataFrame:
 
 
 def dims(spark, d):
+    """Nation dimension with its region."""
     return dims_df(spark, d)
 
 
@@ -470,10 +493,12 @@ def fact_daily_df(spark, d) -> DataFrame:
 
 
 def fact_daily(spark, d):
+    """Lineitem at day grain with its date key."""
     return fact_daily_df(spark, d)
 
 
 def fact_monthly(spark, d):
+    """Orders at month grain."""
     o = table(spark, d, "orders")
     m = o.groupBy(F.trunc("o_orderdate", "month").alias("month_start")).agg(
         F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total_price"))
@@ -482,6 +507,7 @@ def fact_monthly(spark, d):
 
 
 def fact_annual(spark, d):
+    """Average order value per status and year."""
     o = table(spark, d, "orders")
     return o.groupBy(F.col("o_orderstatus").alias("indicator_code"), F.year("o_orderdate").alias("year")).agg(
         F.round(F.avg("o_totalprice"), 6).alias("value")).select(
@@ -489,6 +515,7 @@ def fact_annual(spark, d):
 
 
 def fact_quarterly(spark, d):
+    """Order counts per quarter and market segment."""
     o = table(spark, d, "orders")
     c = table(spark, d, "customer")
     j = o.join(c, o.o_custkey == c.c_custkey)
@@ -511,6 +538,7 @@ def recon_df(spark, d) -> DataFrame:
 
 
 def recon_yearly(spark, d):
+    """Yearly mean of daily mean prices against the yearly mean of all rows, days >= 200, 1% gate."""
     r = recon_df(spark, d)
     return r.select("year", F.round("daily_avg_rate", 6).alias("daily_avg_rate"),
                     F.round("annual_avg_rate", 6).alias("annual_avg_rate"), "trading_days",
@@ -533,6 +561,7 @@ DATA_TESTS = [
 
 
 def data_tests(spark, d):
+    """Declarative tests over the analogue star schema, including deliberately failing ones."""
     models = {"dim_date": dim_date_df(spark, d), "dims": dims_df(spark, d), "fact_daily": fact_daily_df(spark, d),
               "customer": table(spark, d, "customer"), "recon": recon_df(spark, d)}
     return run_data_tests(models, DATA_TESTS)
@@ -543,11 +572,13 @@ def data_tests(spark, d):
 
 
 def latest_row(spark, d):
+    """The last event."""
     ev = table(spark, d, "events")
     return sv.latest(ev.select("event_id", "ts", "user_id", "event_type", "value"), ["ts", "event_id"])
 
 
 def latest_per_group(spark, d):
+    """The last event of every user (ties broken by event id)."""
     ev = table(spark, d, "events")
     return sv.latest_per(ev, ["user_id"], ["ts", "event_id"], ["event_type", "value"])
 
@@ -558,6 +589,7 @@ def monthly_order_value(spark, d) -> DataFrame:
 
 
 def trailing_12(spark, d):
+    """The last twelve months of order value, ascending."""
     t = sv.last_n(monthly_order_value(spark, d), ["month_start"], 12)
     return t.select("month_start", F.round("value", 2).alias("value"))
 
@@ -573,6 +605,7 @@ def convert_monthly_exact(spark, d) -> DataFrame:
 
 
 def convert_monthly(spark, d):
+    """Monthly order value converted at that month's mean unit price."""
     li = table(spark, d, "lineitem")
     rate = sv.period_mean(li.select(F.trunc("l_shipdate", "month").alias("month_start"),
                                     F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price")),
@@ -594,6 +627,7 @@ def run_rate(spark, d):
 
 
 def pivot_series_q(spark, d):
+    """Order counts per year and region, one column per region."""
     o = table(spark, d, "orders")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
@@ -604,6 +638,7 @@ def pivot_series_q(spark, d):
 
 
 def first_last_q(spark, d):
+    """First and last month (and count in thousands) of each priority's monthly series."""
     o = table(spark, d, "orders")
     m = o.groupBy("o_orderpriority", F.trunc("o_orderdate", "month").alias("month_start")).agg(
         F.count(F.lit(1)).alias("n"))
@@ -612,6 +647,7 @@ def first_last_q(spark, d):
 
 
 def coverage_span(spark, d):
+    """Span and totals of the order facts."""
     o = table(spark, d, "orders").withColumn("order_date", F.col("o_orderdate").cast("date"))
     return o.agg(F.min("order_date").alias("min_order_date"), F.max("order_date").alias("max_order_date"),
                  F.count(F.lit(1)).alias("n_rows"),
@@ -628,6 +664,7 @@ def silver_log_from_events(spark, d) -> DataFrame:
 
 
 def silver_report(spark, d):
+    """Events read as a run log: per table the maxima of ok runs and the latest ok run."""
     log = silver_log_from_events(spark, d).filter(F.col("status") == "ok")
     cols = ["built_at", "rows_in", "rows_clean", "rows_quarantined"]
     mx = sv.max_by_group(log, "target_table", cols).select(F.lit("max").alias("mode"), "target_table", *cols)
@@ -637,6 +674,7 @@ def silver_report(spark, d):
 
 
 def feed_document(spark, d):
+    """Nested latest-known document (latest event, latest per type, 12-month trend), flattened."""
     ev = table(spark, d, "events")
     latest = sv.latest(ev.select("event_id", "ts", "value"), ["ts", "event_id"]).select(
         F.struct("event_id", F.round("value", 4).alias("value"), F.col("ts").cast("string").alias("as_of")).alias("latest"))
