@@ -11,3 +11,21 @@ Layers
 """
 
 __version__ = "0.1.0"
+
+from quarry.operators.checks import Check, ColumnSpec, RowCheck, TableSpec, split, validate  # noqa: E402
+from quarry.operators.data_tests import run_data_tests  # noqa: E402
+from quarry.operators.dedup import resolve_duplicates  # noqa: E402
+from quarry.operators.landing import compact_bronze, land, landing_counts, new_rows  # noqa: E402
+from quarry.operators.reconcile import reconcile  # noqa: E402
+from quarry.plans.gold import build_gold, gold_tests, publish_gold  # noqa: E402
+from quarry.plans.silver import SourceDef, accounting, build_silver, classify, run_all  # noqa: E402
+from quarry.session import get_spark  # noqa: E402
+from quarry.sources import (extract_html_table, melt_wide, read_paged_json, read_ragged_csv,  # noqa: E402
+                            read_seed)
+from quarry.streaming import land_stream  # noqa: E402
+
+__all__ = ["Check", "ColumnSpec", "RowCheck", "TableSpec", "split", "validate", "run_data_tests",
+           "resolve_duplicates", "compact_bronze", "land", "landing_counts", "new_rows", "reconcile",
+           "build_gold", "gold_tests", "publish_gold", "SourceDef", "accounting", "build_silver", "classify",
+           "run_all", "get_spark", "extract_html_table", "melt_wide", "read_paged_json", "read_ragged_csv",
+           "read_seed", "land_stream"]

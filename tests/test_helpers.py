@@ -48,3 +48,9 @@ def test_require_nonempty_and_materialize(spark, fresh_db):
     assert spark.table(f"{fresh_db['gold']}.numbers").count() == 3
     with pytest.raises(ValueError):
         materialize(spark, df, "x", "other")
+
+
+def test_top_level_api():
+    import quarry
+    for name in quarry.__all__:
+        assert callable(getattr(quarry, name)), name
