@@ -83,3 +83,11 @@ def test_compaction_keeps_rows_buckets_and_idempotence(spark, fresh_db):
     plan = new_rows(frame(spark, [("1", "x")]), "s", dt.datetime(2026, 1, 2), spark.table(t)) \
         ._jdf.queryExecution().executedPlan().toString()
     assert all("Bucketed: true" in line for line in plan.splitlines() if "FileScan" in line)
+
+
+def test_compaction_refuses_a_table_that_is_not_bucketed(spark, fresh_db):
+    from quarry.operators.landing import compact_bronze
+    t = f"{fresh_db['bronze']}.plain"
+    frame(spark, [("1", "x")]).write.saveAsTable(t)
+    with pytest.raises(ValueError):
+        compact_bronze(spark, t)
