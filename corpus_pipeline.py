@@ -11,8 +11,9 @@ empty; extra columns are carried along.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, pieces_codec, quality
+from quarry.llm import decontaminate, jaccard, pieces_codec, pii, quality
 from quarry.llm.common import materialize, read_table
 
 
@@ -21,11 +22,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of smallest id, of every group of near duplicates."""
+    return jaccard.keep_one_each(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window."""
     return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind in brackets; n_chars follows the text."""
+    out = pii.redact(docs)
+    return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
+
+
 def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id with number and digest of ids and digest of the decoded text."""
     return pieces_codec.encode_stage(docs)
@@ -33,7 +45,9 @@ def sentencepiece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("redact_personal_data", redact_personal_data),
     ("sentencepiece_ids", sentencepiece_ids),
 ]
 

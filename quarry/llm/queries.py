@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from quarry.llm import decontaminate, pieces_codec, quality, token_counts, token_files
+from quarry.llm import (decontaminate, jaccard, lm_scoring, pieces_codec, pii, quality, suffix_dedup, token_counts,
+                        token_files, url_filter)
 
 QUERIES = {
+    "op1_prefix_free_parsing": suffix_dedup.op1_prefix_free_parsing,
     "op2_wu_manber": decontaminate.op2_wu_manber,
     "op3_quality_divergence": quality.op3_quality_divergence,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_sentencepiece_chunks": pieces_codec.op5_sentencepiece_chunks,
+    "op6_jaccard_join": jaccard.op6_jaccard_join,
+    "op7_pii_boosting": pii.op7_pii_boosting,
+    "op8_attention_lm": lm_scoring.op8_attention_lm,
+    "op9_url_filter": url_filter.op9_url_filter,
     "op10_token_files": token_files.op10_token_files,
 }
 
 ORACLE_SQL = {
     "op2_wu_manber": decontaminate.OP2_SQL,
+    "op6_jaccard_join": jaccard.OP6_SQL,
 }
