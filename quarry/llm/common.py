@@ -58,6 +58,30 @@ def pieces(batch: pa.RecordBatch, column: int, limit: int = PIECE_BYTES) -> Iter
         yield batch.slice(start)
 
 
+class Remembered:
+    """A bounded table of computed values in two generations: when the young one is full it becomes
+    the old one, and what is met again moves over, so frequent keys stay. The bound costs time
+    only: a forgotten key is computed anew."""
+
+    def __init__(self, compute, limit: int):
+        self.compute, self.limit, self.young, self.old = compute, limit, {}, {}
+
+    def know(self, keys: set) -> dict:
+        """The young generation, with all of ``keys`` in it until the next call."""
+        if len(self.young) > self.limit:
+            self.young, self.old = {}, self.young
+        new = keys.difference(self.young)
+        if self.old:
+            again = new.intersection(self.old)
+            old = self.old
+            self.young.update((k, old[k]) for k in again)
+            new -= again
+        if new:
+            new = list(new)
+            self.young.update(zip(new, self.compute(new)))
+        return self.young
+
+
 def annotate(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
              make: Callable[[], Callable[[list], list]]) -> DataFrame:
     """``df`` as the struct ``row`` plus new columns computed from its ``text`` column.

@@ -12,10 +12,12 @@ import re
 
 import sentencepiece
 
+from quarry.llm.common import Remembered
+
 MARK = "▁"
 CHUNK = re.compile(" +[^ ]*")
-#: A task keeps the segmentation of at most this many distinct chunks; beyond, it starts anew.
-CACHE_ENTRIES = 300_000
+#: Distinct chunks that a worker remembers, in each of two generations.
+CACHE_ENTRIES = 250_000
 #: Longer chunks are segmented but not kept.
 CACHE_CHARS = 64
 
@@ -48,29 +50,24 @@ def chunks(text: str) -> list[str]:
 
 
 class ChunkTable:
-    """Segments every distinct chunk once and keeps what ``value(ids)`` makes of it."""
+    """Segments every distinct chunk once and keeps what ``value(ids)`` makes of it; ``known`` are
+    values that need no segmentation."""
 
     def __init__(self, path: str, value, known: dict | None = None):
         self.sp, self.value, self.known = load(path), value, known or {}
         self.one = self.sp.piece_to_id(MARK)
-        self.table = dict(self.known)
+        self.table = Remembered(self._segment, CACHE_ENTRIES)
 
     def values(self, keys: list[list[str]]):
         """A function from chunk to value that knows all of ``keys``."""
-        if len(self.table) > CACHE_ENTRIES + len(self.known):
-            self.table = dict(self.known)
-        new = set().union(*keys).difference(self.table)
-        long = {k for k in new if len(k) > CACHE_CHARS}
-        found = dict(self._segment(new - long))
-        self.table.update(found)
-        if not long:
-            return self.table.__getitem__
-        extra = dict(self._segment(long))
-        table = self.table
-        return lambda k: extra[k] if k in extra else table[k]
-
-    def _segment(self, keys):
-        keys = list(keys)
+        asked = set().union(*keys).difference(self.known)
+        long = [k for k in asked if len(k) > CACHE_CHARS]
+        table = self.table.know(asked.difference(long))
+        if long or self.known:
+            table = {**dict(zip(long, self._segment(long))), **{k: table[k] for k in asked.difference(long)}, **self.known}
+        return table.__getitem__
+
+    def _segment(self, keys: list[str]):
         texts = [k[1:] if k[0] == " " else k for k in keys]
-        for k, ids in zip(keys, self.sp.encode(texts, num_threads=1) if texts else []):
-            yield k, self.value([self.one] if k == " " else ids)
+        coded = self.sp.encode(texts, num_threads=1) if texts else []
+        return [self.value([self.one] if k == " " else ids) for k, ids in zip(keys, coded)]

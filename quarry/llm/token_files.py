@@ -12,9 +12,9 @@ Ranks come from the counts of all ids over all documents, most frequent first, s
 Decoding looks up the four lengths of each control byte in a 256-row table and gathers the data
 bytes with numpy, a block at a time.
 
-Encoding: the words between ASCII spaces and line ends are lower-cased (ASCII) and each distinct
-one is encoded by the library once a task; the table is bounded. A text with a string of an
-added token goes to the library whole.
+Encoding: no pre-token crosses white space, so each distinct word between ASCII white space is
+lower-cased (ASCII) and encoded once; the table is bounded. A text with a string of an added
+token goes to the library whole.
 
 Steps, none of which holds more than a block: tokenize and write (doc_id, ids); count ids; deal
 by ranges of doc_id and sort; write blocks; read them back. Defined results: null counts as
@@ -35,18 +35,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import annotate, materialize, read_table, scratch_path, vocabulary_path
+from quarry.llm.common import Remembered, annotate, materialize, read_table, scratch_path, vocabulary_path
 
 MODEL = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
-CACHE_ENTRIES = 300_000
+#: Distinct words that a worker remembers, in each of two generations; longer ones are not kept.
+CACHE_ENTRIES = 400_000
 CACHE_BYTES = 64
-SPACES = re.compile(rb"[ \n]+")
+WORD_END = "</w>"
+#: Lower-case letters that normalizing leaves alone, and marks behind them without an apostrophe.
+PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,;:!?()\\[\\]|#$%&*-]*)")
 
 
 class WordTable:
-    """Ids of every distinct word, as little-endian unsigned 32-bit bytes."""
+    """Ids of every distinct word, as little-endian unsigned 32-bit bytes.
+
+    Words of letters with marks behind them, the bulk of any prose, are pre-tokens that need no
+    normalizing; their distinct letter parts are encoded together in one call, and the pieces with
+    a word end tell them apart. All other words are encoded by the library as they are.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,26 +62,42 @@ class WordTable:
         self.library = Tokenizer.from_file(path)
         self.added = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values())
                                 or "(?!)")
-        self.table: dict[bytes, bytes] = {}
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        self.words = Remembered(self._words, CACHE_ENTRIES)
+        self.parts = Remembered(self._parts, CACHE_ENTRIES)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        split = [PLAIN.fullmatch(w.decode().lower()) for w in words]
+        parts = self.parts.know({p for m in split if m for p in m.groups() if p})
+        other = iter(self._library([w.decode() for w, m in zip(words, split) if not m]))
+        return [(parts[m[1]] + (parts[m[2]] if m[2] else b"")) if m else next(other) for m in split]
+
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for i in range(0, len(parts), 1000):
+            own = parts[i:i + 1000]
+            ids = np.array(self.library.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(own):
+                out += [x.tobytes() for x in np.split(ids, cuts[:-1])]
+            else:               # a vocabulary without word ends
+                out += self._library(own)
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.table) > CACHE_ENTRIES:
-            self.table = {}
         whole = {i: ids for i, ids in self._whole(texts)}
-        words = [[] if i in whole else SPACES.sub(b" ", t.encode().lower()).split(b" ") for i, t in enumerate(texts)]
-        new = list(set().union(*words).difference(self.table))
-        long = {w for w in new if len(w) > CACHE_BYTES}
-        found = dict(zip(new, self._library([w.decode() for w in new])))
-        self.table.update((w, ids) for w, ids in found.items() if w not in long)
-        get = {**{w: found[w] for w in long}}.get
-        table = self.table
-        if not long:
-            return [whole[i] if i in whole else b"".join(map(table.__getitem__, w)) for i, w in enumerate(words)]
-        return [whole[i] if i in whole else b"".join([get(x) or table.get(x, b"") for x in w])
-                for i, w in enumerate(words)]
+        words = [[] if i in whole else t.encode().lower().split() for i, t in enumerate(texts)]
+        asked = set().union(*words)
+        long = [w for w in asked if len(w) > CACHE_BYTES]
+        table = self.words.know(asked.difference(long))
+        if long:
+            table = table | dict(zip(long, self._words(long)))
+        return [whole[i] if i in whole else b"".join(map(table.__getitem__, w)) for i, w in enumerate(words)]
 
     def _whole(self, texts):
         at = [i for i, t in enumerate(texts) if self.added.search(t)]
