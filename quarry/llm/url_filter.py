@@ -4,7 +4,8 @@ Host and path are cut out with SQL functions; the longest fitting rule decides.
 get the verdict of gradient-boosted trees over length, depth, digit ratio, entropy, parameter
 counts and suffix statistics. The labelled urls are those that a rule decides; the trees are
 fitted on a sample of them of at most ``sample`` rows, the smallest url hashes. Suffix statistics
-(number of urls and of blocked ones for the last host label) are counted over all urls.
+(number of urls and share of blocked ones, for the last host label and for the first path
+segment) are counted over all urls.
 
 Defined results: a null url, or one without ``://``, has empty host and path and no rule, and the
 model judges it like any other; without labelled urls of both kinds the model says ``allow``;
@@ -29,7 +30,7 @@ SAMPLE = 20_000
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# Feature name -> SQL over u (url), host, path, tail (from ? or # on), suffix_n and suffix_rate.
+# Feature name -> SQL over u (url), host, path, tail (from ? or # on) and the statistics.
 FEATURES = {
     "url_length": "length(u)",
     "host_length": "length(host)",
@@ -50,6 +51,8 @@ FEATURES = {
     "secure": "if(startswith(u, 'https'), 1, 0)",
     "suffix_n": "ln(1 + suffix_n)",
     "suffix_rate": "suffix_rate",
+    "segment_n": "ln(1 + segment_n)",
+    "segment_rate": "segment_rate",
 }
 
 
@@ -75,6 +78,19 @@ def with_rule(rows: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFram
     return rows.withColumn("rule", rule).withColumn("ruled", ruled)
 
 
+def with_statistics(rows: DataFrame) -> DataFrame:
+    """Adds, for the last host label (suffix) and the first path segment, the number of urls with it
+    and the smoothed share of blocked ones among those that a rule decides."""
+    parts = {"suffix": F.substring_index("host", ".", -1), "segment": F.substring_index(F.substring("path", 2, 1 << 30), "/", 1)}
+    for name, value in parts.items():
+        rows = rows.withColumn(name, value)
+        totals = rows.groupBy(F.col(name).alias("s")).agg(
+            F.count("*").alias(f"{name}_n"),
+            ((F.count_if(F.col("ruled") == "block") + 1) / (F.count("ruled") + 2)).alias(f"{name}_rate"))
+        rows = rows.join(totals, F.col(name) == F.col("s"), "left").drop("s", name)
+    return rows
+
+
 def fit_verdicts(rows: DataFrame, sample: int = SAMPLE) -> boosting.Boosted:
     """Trees for "block", fitted on at most ``sample`` labelled rows that have the features."""
     labelled = rows.where("ruled is not null").select(
@@ -86,13 +102,9 @@ def fit_verdicts(rows: DataFrame, sample: int = SAMPLE) -> boosting.Boosted:
 
 def judge(pages: DataFrame, url: str = "url", rules: list[tuple[str, str]] = RULES, sample: int = SAMPLE) -> DataFrame:
     """``pages`` as struct ``row`` with host, path, rule, verdict and the model's log-odds ``score``."""
-    rows = with_rule(parse(pages, url), rules).withColumn("suffix", F.substring_index("host", ".", -1))
-    totals = rows.groupBy(F.col("suffix").alias("s")).agg(
-        F.count("*").alias("suffix_n"),
-        ((F.count_if(F.col("ruled") == "block") + 1) / (F.count("ruled") + 2)).alias("suffix_rate"))
-    rows = rows.join(totals, F.col("suffix") == F.col("s"), "left")
-    names = {k: F.expr(v).cast("double").alias(f"f_{k}") for k, v in FEATURES.items()}
-    rows = rows.select("row", "u", "host", "path", "rule", "ruled", F.struct(*[c.alias(k) for k, c in names.items()]).alias("f"))
+    rows = with_statistics(with_rule(parse(pages, url), rules))
+    features = F.struct(*[F.expr(v).cast("double").alias(k) for k, v in FEATURES.items()])
+    rows = rows.select("row", "u", "host", "path", "rule", "ruled", features.alias("f"))
     model = fit_verdicts(rows.select("u", "ruled", *[F.col(f"f.{k}").alias(k) for k in FEATURES]), sample)
     score = F.expr(model.sql([f"f.{k}" for k in FEATURES]))
     return rows.withColumn("score", score).withColumn(
