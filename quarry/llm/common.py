@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -32,9 +33,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives a lost
     executor, and gives the optimizer the real size."""
-    path = scratch_path(df.sparkSession, name)
+    path, spark, schema = scratch_path(df.sparkSession, name), df.sparkSession, df.schema
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    del df
+    release(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner find plans that nobody holds any more: their shuffle files go at once,
+    not when the driver next happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def vocabulary_path(name: str, folder: str | None = None) -> str:

@@ -13,10 +13,12 @@ last, so a passage that many documents share enters no index as long as a docume
 else. Sets of at most six shingles are indexed whole, with their one-deletion neighbourhoods.
 
 Verification. Equal sets are one class from the start. Among documents that share a segment,
-each is first compared with the one document it shares most segments with (hub), then those that
-are still in different components are compared through 1024-bit parity sketches, whose Hamming
-distance never exceeds the true difference, and every surviving pair is verified on the texts.
-So no link is lost, and no group emits its pairs. Segment groups are streams of sorted rows.
+each is first compared with the one document it shares most segments with (hub). Pairs that are
+still in different components must pass bounds that no link fails: sizes, the Hamming distance
+of 1024-bit parity sketches (never above the true difference), and for large sets, which index
+ell more keys than the pigeonhole needs, ell common keys instead of one. Every pair left is
+verified on the texts unless its components have met. So no link is lost, and no group emits its
+pairs. Segment groups are streams of sorted rows.
 
 Node ids are document ids: rows with one doc_id are versions of one document. Defined results:
 null or empty texts have no shingles and link with nothing; rows without doc_id are reported
@@ -42,6 +44,8 @@ NEAR, WHOLE = 3, 4
 TINY = 6
 #: Bands whose smallest set is smaller have a segment for each shingle.
 SEGMENTED = 128
+#: Sets of bands from this size on index a quarter more keys than the pigeonhole needs.
+LARGE = 512
 #: Counters of the frequency sketch. More give a sharper cost model on larger corpora; the
 #: result does not depend on it.
 SKETCH_BITS = 20
@@ -92,7 +96,7 @@ def _bands() -> list[tuple[int, int, int]]:
         high = -(-low * WHOLE // NEAR)
         out.append((len(out), low, high))
         low = high
-    return out
+    return out[:63]             # the band is six bits of a key
 
 
 BANDS = _bands()
@@ -110,7 +114,7 @@ def signatures(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
         keys = [np.array([whole], np.uint64)]
         if size > 3:                                    # smaller sets have partners of their own size only
             keys.append(whole - mix(s))
-        out.append(mix(np.concatenate(keys) ^ U(0x5A5A)) >> U(1))
+        out.append(mix(np.concatenate(keys) ^ U(0x5A5A)) >> U(8) << U(6) | U(len(BANDS)))
     k = int(np.searchsorted(LOWS, size, side="right")) - 1
     while k >= 0 and size <= (BANDS[k][2] - 1) * WHOLE // NEAR:
         band, low, high = BANDS[k]
@@ -127,9 +131,11 @@ def signatures(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
             content = np.add.reduceat(mix(s), first)
             keys = mix((content ^ label) + segment[first] * U(0x9E3779B97F4A7C15))
             cold = np.logical_or.reduceat(~hot, first)
-        if len(keys) <= most:
+        if len(keys) <= most + most // 4:
             raise ValueError("a set fills too few segments; this band needs more of them")
-        keys = (keys >> U(2)) | (U(1) << U(62)) * (~cold).astype(np.uint64)
+        if low >= LARGE:                                # so many more that a link shares as many, not one
+            most += most // 4
+        keys = (keys >> U(8) << U(6)) | U(band) | (U(1) << U(62)) * (~cold).astype(np.uint64)
         out.append(np.partition(keys, most)[:most + 1])
         k -= 1
     return np.concatenate(out).astype(np.int64)
@@ -341,65 +347,81 @@ def linked(x: np.ndarray, y: np.ndarray) -> bool:
     return WHOLE * both >= NEAR * (len(x) + len(y) - both)
 
 
-def _open_pairs(groups: DataFrame, labels: DataFrame, described: DataFrame, best: bool) -> DataFrame:
-    """Pairs (a, b) of one key but different components whose parity sketches allow a link; with
-    ``best``, for each document only the nearest of each other component."""
+def _open_pairs(groups: DataFrame, labels: DataFrame, described: DataFrame) -> DataFrame:
+    """(a, b, ca, cb, shared): pairs with a common key whose components differ, whose sizes and parity
+    sketches allow a link, and which share as many keys of a band as a link must."""
     own = groups.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_keys = own.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .where("lo != hi").select("sig")
     sketches = described.where("n > 0 and doc_id is not null").select(F.col("doc_id").alias("id"), "n", "parity")
     rows = own.join(open_keys, "sig").select("sig", "id", "component").join(sketches, "id") \
-        .select("sig", "component", "id", "n", "parity")
-
-    def near(x, y):
-        """Index pairs of rows of x and y (component, id, n, bits) that may link, with distances."""
-        different = x[0][:, None] != y[0][None, :]
-        total = x[2][:, None] + y[2][None, :]
-        fits = different & (NEAR * np.maximum(x[2][:, None], y[2][None, :]) <= WHOLE * np.minimum(x[2][:, None], y[2][None, :]))
-        at = np.argwhere(fits)
-        if not len(at):
-            return at, np.zeros(0)
-        apart = np.concatenate([np.bitwise_count(x[3][p[:, 0]] ^ y[3][p[:, 1]]).sum(axis=1)
-                                for p in np.array_split(at, max(1, len(at) // 100_000))])
-        ok = 7 * apart.astype(np.int64) <= total[at[:, 0], at[:, 1]]
-        return at[ok], apart[ok]
-
-    def compare(group):
-        block, found = 1024, []
-        parts = [tuple(c[i:i + block] for c in group) for i in range(0, len(group[0]), block)]
-        for i, x in enumerate(parts):
-            for y in parts[i:]:
-                at, apart = near(x, y)
-                found.append(np.column_stack([x[1][at[:, 0]], y[1][at[:, 1]], x[0][at[:, 0]], y[0][at[:, 1]], apart]).astype(np.int64))
-        rows = np.concatenate(found)
-        rows = np.concatenate([rows, rows[:, [1, 0, 3, 2, 4]]])
-        if best and len(rows):
-            rows = rows[np.lexsort((rows[:, 1], rows[:, 4], rows[:, 3], rows[:, 0]))]
-            rows = rows[np.append(True, (rows[1:, [0, 3]] != rows[:-1, [0, 3]]).any(axis=1))]
-        return np.unique(np.sort(rows[:, :2], axis=1), axis=0) if len(rows) else rows[:, :2]
+        .select("sig", "id", "component", "n", "parity")
+    names = ["a", "b", "ca", "cb", "na", "nb", "band", "shared"]
+
+    def fitting(rows, i, j):
+        """Those of the row pairs (i, j) that may link."""
+        sig, ids, component, n, bits = rows
+        ok = (component[i] != component[j]) & (NEAR * np.maximum(n[i], n[j]) <= WHOLE * np.minimum(n[i], n[j]))
+        i, j = i[ok], j[ok]
+        apart = np.concatenate([np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1) for x, y in zip(
+            np.array_split(i, len(i) // 50_000 + 1), np.array_split(j, len(i) // 50_000 + 1))])
+        ok = 7 * apart.astype(np.int64) <= n[i] + n[j]
+        return i[ok], j[ok]
+
+    def pairs(rows):
+        """Fitting pairs of whole groups of sorted rows: of small groups by shifting all rows at once,
+        of large ones in blocks."""
+        sig = rows[0]
+        cuts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+        size = np.diff(np.append(cuts, len(sig)))
+        small = np.repeat(size <= 16, size)
+        found = []
+        for k in range(1, min(16, int(size.max()))):
+            i = np.flatnonzero(small[:-k] & (sig[:-k] == sig[k:]))
+            found.append(fitting(rows, i, i + k))
+        for start, count in zip(cuts[size > 16], size[size > 16]):
+            for x in range(0, count, 512):
+                for y in range(x, count, 512):
+                    i, j = np.meshgrid(np.arange(x, min(x + 512, count)), np.arange(y, min(y + 512, count)), indexing="ij")
+                    ahead = i < j
+                    found.append(fitting(rows, start + i[ahead], start + j[ahead]))
+        i, j = [np.concatenate(c) for c in zip(*found)] if found else (np.zeros(0, int), np.zeros(0, int))
+        _, ids, component, n, _ = rows
+        flip = ids[i] > ids[j]
+        i, j = np.where(flip, j, i), np.where(flip, i, j)
+        return np.column_stack([ids[i], ids[j], component[i], component[j], n[i], n[j], sig[i] & 63]).astype(np.int64)
+
+    def counted(table):
+        rows, count = np.unique(table, axis=0, return_counts=True) if len(table) else (table, np.zeros(0, np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(7)] + [pa.array(count.astype(np.int64))], names=names)
 
     def run(batches):
-        sig, held = None, []
+        held = None
         for b in batches:
             if not b.num_rows:
                 continue
-            sigs = b.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(sigs[1:] != sigs[:-1]) + 1), len(sigs)]
-            for s, e in zip(cuts[:-1], cuts[1:]):
-                if held and sigs[s] != sig:
-                    yield result(held)
-                    held = []
-                sig = sigs[s]
-                bits = np.frombuffer(b"".join(b.column(4).slice(s, e - s).to_pylist()), np.uint64).reshape(e - s, -1)
-                held.append((b.column(1).to_numpy()[s:e], b.column(2).to_numpy()[s:e], b.column(3).to_numpy()[s:e], bits))
-        if held:
-            yield result(held)
-
-    def result(held):
-        pairs = compare([np.concatenate(c) for c in zip(*held)])
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
-
-    return rows.repartition("sig").sortWithinPartitions("sig", "id").mapInArrow(run, "a long, b long").distinct()
+            bits = np.frombuffer(b"".join(b.column(4).to_pylist()), np.uint64).reshape(b.num_rows, -1)
+            rows = (*[b.column(k).to_numpy() for k in range(4)], bits)
+            if held is not None:
+                rows = tuple(np.concatenate(c) for c in zip(held, rows))
+            whole = int(np.searchsorted(rows[0], rows[0][-1]))      # the last group may go on
+            if whole:
+                yield counted(pairs(tuple(c[:whole] for c in rows)))
+            held = tuple(c[whole:] for c in rows)
+        if held is not None:
+            yield counted(pairs(held))
+
+    def size_of_index(n):
+        high = F.get(F.array(*[F.lit(h) for _, _, h in BANDS]), F.col("band").cast("int"))
+        low = F.get(F.array(*[F.lit(x) for _, x, _ in BANDS]), F.col("band").cast("int"))
+        most = F.when(n < high, F.floor((n + F.floor(n * WHOLE / NEAR)) / 7)).otherwise(F.floor((n + high - 1) / 7))
+        return most + F.when(low >= LARGE, 1 + F.floor(most / 4)).otherwise(1)
+
+    least = F.when(F.col("band") >= len(BANDS), 1).otherwise(
+        F.least(size_of_index(F.col("na")), size_of_index(F.col("nb"))) - F.floor((F.col("na") + F.col("nb")) / 7))
+    counts = rows.repartition("sig").sortWithinPartitions("sig", "id").mapInArrow(run, ", ".join(f"{c} long" for c in names)) \
+        .groupBy(names[:-1]).agg(F.sum("shared").alias("shared"))
+    return counts.where(F.col("shared") >= least).groupBy("a", "b", "ca", "cb").agg(F.max("shared").alias("shared"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -418,15 +440,20 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     links = materialize(_verify(hubs.select(F.col("hub").alias("a"), F.col("id").alias("b")), texts)
                         .unionAll(same), "jaccard-links")
     labels = materialize(components(links), "jaccard-components")
-    for best in (True, False):
-        pairs = materialize(_open_pairs(groups, labels, rows, best), "jaccard-open")
-        more = materialize(_verify(pairs, texts), "jaccard-more")
-        if more.isEmpty():
-            if best and pairs.isEmpty():
-                break                       # nothing was open: the exhaustive pass would find nothing either
-            continue
-        links = links.unionAll(more)
-        labels = materialize(components(links), "jaccard-components")
+    pairs = materialize(_open_pairs(groups, labels, rows), "jaccard-open")
+    # first every document with the likeliest partner in each other component, which joins most of
+    # them; then exhaustively all pairs that are still open
+    first = pairs.groupBy("a", "cb").agg(F.max_by("b", F.struct("shared", "b")).alias("b")).select("a", "b") \
+        .unionAll(pairs.groupBy("b", "ca").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")).distinct()
+    found = materialize(_verify(first, texts), "jaccard-first")
+    links = links.unionAll(found)
+    labels = materialize(components(links), "jaccard-components")
+    ends = [labels.select(F.col("id").alias(x), F.col("component").alias(f"now_{x}")) for x in "ab"]
+    rest = pairs.select("a", "b").join(first, ["a", "b"], "left_anti").join(ends[0], "a", "left").join(ends[1], "b", "left") \
+        .where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b")).select("a", "b")
+    found = materialize(_verify(rest, texts), "jaccard-rest")
+    if not found.isEmpty():
+        labels = materialize(components(links.unionAll(found)), "jaccard-components")
     return rows.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
