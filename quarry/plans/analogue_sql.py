@@ -232,14 +232,22 @@ SELECT CAST(count(*) AS BIGINT) AS rows_received,
        CAST(count(*) - count(DISTINCT h) FILTER (WHERE h NOT IN (SELECT h FROM b1)) AS BIGINT) AS rows_skipped
 FROM b2"""
     q["ragged_fold"] = """
-WITH p AS (SELECT *, 3 + p_partkey % 5 AS k FROM part WHERE p_partkey % 17 <> 0)
+WITH p AS (SELECT *, 3 + p_partkey % 5 AS k FROM part
+           WHERE p_partkey % 17 > 5 OR (p_partkey % 17 = 5 AND p_partkey >= 100))
 SELECT CAST(p_partkey AS VARCHAR) AS key_raw, p_name AS name_raw, p_brand AS brand_raw,
        CASE WHEN k >= 4 THEN p_type END AS type_raw,
        CASE k WHEN 5 THEN CAST(p_size AS VARCHAR)
               WHEN 6 THEN CAST(p_size AS VARCHAR) || ',' || p_brand || ', size ' || CAST(p_size AS VARCHAR)
               WHEN 7 THEN CAST(p_size AS VARCHAR) || ',' || p_brand || ', size ' || CAST(p_size AS VARCHAR) || ',' || lower(p_type)
        END AS rest_raw
-FROM p"""
+FROM p
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), '5" pipe', '3" pipe', 'c', NULL FROM part WHERE p_partkey % 17 = 1
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'abcdef', ' "x', ' y"', 'z' FROM part WHERE p_partkey % 17 = 2
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'two' || chr(10) || 'lines', 'b', NULL, NULL FROM part WHERE p_partkey % 17 = 3
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'next', NULL, NULL, NULL FROM part WHERE p_partkey % 17 = 3
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'a', 'open, never closed', NULL, NULL FROM part WHERE p_partkey % 17 = 4
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'n', 'b', 't', rtrim(repeat('f,', 20000), ',') FROM part
+          WHERE p_partkey % 17 = 5 AND p_partkey < 100"""
     q["json_flatten"] = """
 SELECT event_id, event_type, json_extract_string(props, '$.k') AS k, CAST(NULL AS VARCHAR) AS missing_id FROM events"""
     q["json_array_explode"] = """
@@ -337,6 +345,20 @@ SELECT CAST(sum(copies) AS BIGINT) AS rows_in, CAST(count(*) FILTER (WHERE statu
        CAST(count(*) FILTER (WHERE status <> 'clean') AS BIGINT) AS rows_quarantined,
        CAST(sum(copies - 1) AS BIGINT) AS rows_deduped
 FROM li_classified"""
+    zero = "CAST(0 AS BIGINT)"
+    q["run_isolation"] = "WITH " + LINEITEM_CTE.rstrip().rstrip(",") + ",\n" + ORDERS_CTE.strip() + f"""
+SELECT 'lineitem' AS source, 'silver.lineitem' AS target_table, CAST(sum(copies) AS BIGINT) AS rows_in,
+       CAST(count(*) FILTER (WHERE status = 'clean') AS BIGINT) AS rows_clean,
+       CAST(count(*) FILTER (WHERE status <> 'clean') AS BIGINT) AS rows_quarantined,
+       CAST(sum(copies - 1) AS BIGINT) AS rows_deduped, 'ok' AS status, CAST(NULL AS VARCHAR) AS detail
+FROM li_classified
+UNION ALL
+SELECT 'orders', 'silver.orders', r.n, v.clean, r.bad + v.conflicts, r.n - r.bad - v.clean - v.conflicts, 'ok', NULL
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE reasons IS NOT NULL) AS bad FROM o_validated) r,
+     (SELECT count(*) FILTER (WHERE nv = 1) AS clean, CAST(sum(CASE WHEN nv > 1 THEN nv ELSE 0 END) AS BIGINT) AS conflicts
+      FROM o_keyed) v
+UNION ALL
+SELECT 'orders_broken', 'silver.orders_broken', {zero}, {zero}, {zero}, {zero}, 'error', 'SchemaMismatch'"""
     q["dedup_collapse"] = "WITH " + ORDERS_CTE + f"""
 SELECT {', '.join('v.' + c for c in O_VALUES)}, v._source_row_hash
 FROM o_versions v JOIN o_keyed k USING (o_orderkey) WHERE k.nv = 1"""

@@ -26,7 +26,6 @@ from quarry.operators.dedup import STATUS
 from quarry.operators.landing import landing_counts, new_rows
 from quarry.operators.reconcile import reconcile
 from quarry.plans import gold
-from quarry.session import spread
 from quarry.plans.silver import SourceDef, accounting, classify, quarantine_rows, silver_rows
 from quarry.sources.html_table import extract_html_table
 from quarry.operators.evidence import infer_date_order
@@ -55,11 +54,9 @@ HTML_COLUMNS = ["key_raw", "name_raw", "brand_raw", "size_raw"]
 RAGGED_COLUMNS = ["key_raw", "name_raw", "brand_raw", "type_raw", "rest_raw"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
-    """A supplied table; ``heavy`` marks inputs followed by costly per-row work (parsing,
-    hashing, document building), which are spread over all cores when unsplittable."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df, min_bytes=1 << 16) if heavy else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A supplied table."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def dec2(c) -> Column:
@@ -78,7 +75,7 @@ def iso(c) -> Column:
 
 def land_first_batch(spark, d):
     """Documents (text, lang, source) as a first landing: metadata, content hash, in-batch repeats collapsed."""
-    docs = table(spark, d, "documents", heavy=True).select("text", "lang", "source")
+    docs = table(spark, d, "documents").select("text", "lang", "source")
     return new_rows(docs, "documents", INGESTED_FIRST)
 
 
@@ -96,32 +93,43 @@ def land_incremental(spark, d):
 
 
 def ragged_lines(spark, d) -> DataFrame:
-    p = table(spark, d, "part", heavy=True)
+    p = table(spark, d, "part")
     fields = F.array(
         F.col("p_partkey").cast("string"), F.col("p_name"), F.col("p_brand"), F.col("p_type"),
         F.col("p_size").cast("string"),
         F.concat(F.lit('"'), F.col("p_brand"), F.lit(", size "), F.col("p_size").cast("string"), F.lit('"')),
         F.lower("p_type"))
     k = F.lit(3) + (F.col("p_partkey") % 5).cast("int")
-    line = F.when(F.col("p_partkey") % 17 == 0, F.lit(" , , ,")).otherwise(F.array_join(F.slice(fields, F.lit(1), k), ","))
+    key = F.col("p_partkey").cast("string")
+    odd = F.col("p_partkey") % 17
+    line = (F.when(odd == 0, F.lit(" , , ,"))
+            # quotes inside a field; text behind a closing quote; a quoted line break and a second
+            # record; an unclosed quote; a line of very many quoted fields
+            .when(odd == 1, F.concat(key, F.lit(',5" pipe,3" pipe,c')))
+            .when(odd == 2, F.concat(key, F.lit(',"abc"def, "x, y",z')))
+            .when(odd == 3, F.concat(key, F.lit(',"two\nlines",b\n'), key, F.lit(",next")))
+            .when(odd == 4, F.concat(key, F.lit(',a,"open, never closed')))
+            .when((odd == 5) & (F.col("p_partkey") < 100),
+                  F.concat(key, F.lit(",n,b,t,"), F.array_join(F.array_repeat(F.lit('"f"'), 20_000), ",")))
+            .otherwise(F.array_join(F.slice(fields, F.lit(1), k), ",")))
     return p.select(line.alias("value"))
 
 
 def ragged_fold(spark, d):
-    """Part rows rendered as headerless lines of 3 to 7 fields (one quoted with a comma), parsed back."""
+    """Part rows rendered as headerless records of 2 to 20,004 fields with every kind of quote, parsed back."""
     return parse_ragged_lines(ragged_lines(spark, d), RAGGED_COLUMNS)
 
 
 def json_flatten(spark, d):
     """Event properties read as paged records; a number keeps its source text, a missing path is null."""
-    ev = table(spark, d, "events", heavy=True)
+    ev = table(spark, d, "events")
     return flatten_paged_json(
         ev.select("event_id", "event_type", F.concat(F.lit("[{}, ["), F.col("props"), F.lit("]]")).alias("value")),
         {"k": "k", "missing_id": "missing.id"}, keep=("event_id", "event_type"))
 
 
 def paged_documents(spark, d) -> DataFrame:
-    o = table(spark, d, "orders", heavy=True)
+    o = table(spark, d, "orders")
 
     def record(ind_id: str, value: Column) -> Column:
         return F.struct(
@@ -168,7 +176,7 @@ def date_order_evidence(spark, d):
 
 
 def html_pages(spark, d) -> DataFrame:
-    p = table(spark, d, "part", heavy=True)
+    p = table(spark, d, "part")
     name_header = F.when(F.col("p_partkey") % 31 == 0, F.lit("Label")).otherwise(F.lit("Name"))
     html = F.concat(
         F.lit("<html><body><p>part "), F.col("p_partkey").cast("string"),
@@ -190,7 +198,7 @@ def html_rows(spark, d):
 def html_page_scan(spark, d):
     """The extractor over the supplied raw web pages (whole documents); pages without the
     wanted table are reported, not dropped."""
-    pages = table(spark, d, "pages", heavy=True).select("page_id", "html")
+    pages = table(spark, d, "pages").select("page_id", "html")
     return extract_html_table(pages, "html", "parts", HTML_HEADERS, HTML_COLUMNS, id_col="page_id",
                               on_error="quarantine")
 
@@ -271,7 +279,7 @@ LINEITEM_RAW = ["l_orderkey_raw", "l_linenumber_raw", "l_quantity_raw", "l_exten
 
 
 def lineitem_bronze(spark, d) -> DataFrame:
-    li = table(spark, d, "lineitem", heavy=True)
+    li = table(spark, d, "lineitem")
     k = F.col("l_orderkey")
     qty = F.when((F.col("l_linenumber") == 7) & (k % 10 == 0), F.concat(F.lit("-"), dec2("l_quantity"))).otherwise(
         dec2("l_quantity"))
@@ -378,7 +386,7 @@ ORDERS_RAW = ["o_orderkey_raw", "o_custkey_raw", "o_orderstatus_raw", "o_totalpr
 
 
 def orders_bronze(spark, d) -> DataFrame:
-    o = table(spark, d, "orders", heavy=True)
+    o = table(spark, d, "orders")
 
     def render(date_fmt: str, price: Column, at: dt.datetime) -> DataFrame:
         return o.select(F.col("o_orderkey").cast("string").alias("o_orderkey_raw"),

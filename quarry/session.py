@@ -69,6 +69,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def ensure_warehouse(spark: SparkSession) -> str:
+    """The warehouse folder; on a cluster it must have been set, as Spark's default is a folder of
+    one machine."""
+    path = spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.sparkContext.master.startswith("local") and not spark.sparkContext.getConf().contains(
+            "spark.sql.warehouse.dir"):
+        raise ValueError("set spark.sql.warehouse.dir to a shared folder: tables must outlive the machine")
+    return path
+
+
 def ensure_databases(spark: SparkSession, names=("bronze", "silver", "gold", "meta")) -> None:
     """Create the layer namespaces when absent."""
     for n in names:
@@ -83,25 +93,3 @@ def estimated_bytes(df) -> int | None:
     except Exception:  # noqa: BLE001 - e.g. a remote session without a JVM handle
         return None
 
-
-def spread(df, min_partitions: int | None = None, min_bytes: int = 1 << 20):
-    """Give a large-but-unsplittable input enough partitions to use every core.
-
-    A file written as one row group is read as one task however big it is. When the input
-    has fewer partitions than the session's default parallelism and its estimated size is
-    above ``min_bytes``, it is dealt round-robin over ``target`` partitions. Round-robin keeps
-    partitions even when a third of the rows are identical (hashing the columns would send
-    them all to one partition), and Spark sorts each input partition locally before dealing,
-    so a retried task receives the same rows. Inputs that are already split finer than the
-    parallelism (any large table on a cluster) are returned untouched.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001 - no partition information: leave the plan as is
-        return df
-    size = estimated_bytes(df)
-    if size is None or size < min_bytes:
-        return df
-    return df.repartition(target)

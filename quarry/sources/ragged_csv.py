@@ -1,54 +1,77 @@
 """Headerless delimited text with a fixed positional layout and ragged records.
 
-Semantics: blank lines and records whose fields are all blank are skipped; short records
-are padded with null; surplus fields are joined with commas into the last column; fields
-are otherwise kept exactly as received (surrounding double quotes removed, doubled quotes
-unescaped). Exact duplicate records are kept.
-
-Spark's CSV reader cannot express this: with an n-column schema it drops surplus fields
-and it turns empty fields into null. Records are therefore split with a quote-aware
-regular expression on the JVM; every line is handled by native expressions.
+Semantics: fields and records are split as the standard CSV dialect does (doubled quotes, quotes
+inside an unquoted field, text behind a closing quote, line breaks inside quotes, an unclosed
+quote that runs to the end); blank lines and records whose fields are all blank are skipped;
+short records are padded with null; surplus fields are joined with commas into the last column;
+fields are otherwise kept exactly as received. Exact duplicate records are kept.
+
+Spark's CSV reader cannot express this: with an n-column schema it drops surplus fields and it
+turns empty fields into null. Each input row (a line, or the whole text of a file when records
+may span lines) is therefore read by the standard reader, one linear pass without recursion, in
+an Arrow map that Spark spreads over the input's partitions.
 """
 
 from __future__ import annotations
 
+import csv
+import io
+import sys
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# split on commas that are followed by an even number of quote characters (outside quotes)
-_FIELD_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
-def _unquote(x: Column) -> Column:
-    quoted = x.startswith('"') & x.endswith('"') & (F.length(x) >= 2)
-    inner = x.substr(F.lit(2), F.length(x) - F.lit(2))
-    return F.when(quoted, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(x)
+#: Records handed on at a time.
+BATCH_RECORDS = 4096
 
 
-def split_record(line: Column) -> Column:
-    """A text line to an array of unquoted fields."""
-    return F.transform(F.split(line, _FIELD_SPLIT, -1), _unquote)
+def ragged_records(text: str, n: int):
+    """The records of a text as ``n`` fields each, blank ones skipped."""
+    for record in csv.reader(io.StringIO(text, newline="")):
+        if any(f.strip() for f in record):
+            if len(record) > n:
+                record = [*record[:n - 1], ",".join(record[n - 1:])]
+            yield record + [None] * (n - len(record))
 
 
 def parse_ragged_lines(lines: DataFrame, columns: Sequence[str], line_col: str = "value",
                        keep: Sequence[str] = ()) -> DataFrame:
-    """Parse a column of text lines into ``columns`` with the ragged-record rules."""
-    n = len(columns)
-    fields = split_record(F.col(line_col))
-    size = F.size(fields)
-    folded = F.when(
-        size > n,
-        F.concat(F.slice(fields, 1, n - 1),
-                 F.array(F.array_join(F.slice(fields, F.lit(n), size - F.lit(n - 1)), ","))),
-    ).otherwise(fields)
-    blank = F.regexp_replace(F.array_join(fields, ""), r"(?U)\s", "") == ""
-    return (lines.select(*keep, folded.alias("_f"), blank.alias("_blank"))
-            .filter(~F.col("_blank"))
-            .select(*keep, *[F.get(F.col("_f"), i).alias(c) for i, c in enumerate(columns)]))
-
-
-def read_ragged_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Read headerless CSV file(s) at ``path`` into the positional ``columns``."""
-    return parse_ragged_lines(spark.read.text(path), columns)
+    """Parse a column of texts (lines or whole files) into ``columns`` with the ragged-record
+    rules; ``keep`` columns are repeated for every record. A null text has no records."""
+    n, names = len(columns), [*keep, *columns]
+    kept = lines.select(*[F.col(f"`{c}`") for c in keep], F.col(line_col).cast("string").alias("_text"))
+    schema = T.StructType([*kept.schema.fields[:-1], *[T.StructField(c, T.StringType()) for c in columns]])
+
+    def parse(batches):
+        csv.field_size_limit(sys.maxsize)
+        for batch in batches:
+            rows, records = [], []
+
+            def out():
+                fields = zip(*records) if records else [[]] * n
+                return pa.RecordBatch.from_arrays(
+                    [batch.column(i).take(pa.array(rows, pa.int64())) for i in range(len(keep))]
+                    + [pa.array(list(f), pa.string()) for f in fields], names=names)
+
+            for i, text in enumerate(batch.column(len(keep)).to_pylist()):
+                for record in ragged_records(text or "", n):
+                    rows.append(i)
+                    records.append(record)
+                    if len(records) >= BATCH_RECORDS:
+                        yield out()
+                        rows, records = [], []
+            yield out()
+
+    return kept.mapInArrow(parse, schema)
+
+
+def read_ragged_csv(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True) -> DataFrame:
+    """Read headerless CSV file(s) at ``path`` into the positional ``columns``.
+
+    With ``multi_line`` a file is one input row, so that a quoted field may hold line breaks; files
+    too large for that, whose records are lines, are read with ``multi_line=False`` and split.
+    """
+    return parse_ragged_lines(spark.read.text(path, wholetext=multi_line), columns)

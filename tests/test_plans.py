@@ -11,9 +11,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_classification_shuffles_rows_once_and_stays_on_the_jvm(spark, monkeypatch):
-    # count the classification's own exchanges (input spreading switched off)
-    monkeypatch.setattr(A, "spread", lambda df, **kw: df)
+def test_classification_shuffles_rows_once_and_stays_on_the_jvm(spark):
     p = plan(A.lineitem_classified(spark, SF))
     exchanges = re.findall(r"Exchange hashpartitioning", p)
     assert 1 <= len(exchanges) <= 3
@@ -52,11 +50,10 @@ def test_classification_parses_bronze_once(spark):
 
 
 def test_no_query_plans_cross_joins_or_stray_python(spark):
-    import __spark_entry__ as E
-    python_ok = {"html_rows", "html_page_scan"}
-    for name, fn in E.queries().items():
+    python_ok = {"html_rows", "html_page_scan", "ragged_fold"}
+    for name, fn in A.QUERIES.items():
         p = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p, name
         assert "Window" not in p, name
-        has_python = any(k in p for k in ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "PythonUDF"))
+        has_python = any(k in p for k in ("MapInPandas", "MapInArrow", "ArrowEvalPython", "BatchEvalPython", "PythonUDF"))
         assert has_python == (name in python_ok), name
