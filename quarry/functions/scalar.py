@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "as_col", "norm_label", "strip", "drop_commas", "to_number", "to_long", "month_number",
-    "row_hash", "truncate", "reason", "parse_date", "month_start", "date_key", "month_name",
-    "per_unit", "invert_quote", "relative_difference", "payload_json", "not_blank",
-    "case_on", "NUMBER_PATTERN", "UNIT_SEPARATOR",
+    "row_hash", "parse_date", "month_start", "date_key", "month_name",
+    "per_unit", "invert_quote", "relative_difference", "not_blank", "NUMBER_PATTERN", "UNIT_SEPARATOR",
 ]
 
 #: Field separator used inside a row fingerprint (ASCII unit separator, U+001F).
@@ -66,8 +65,12 @@ def to_number(c, commas: bool = True) -> Column:
 
 
 def to_long(c, sentinel: int | None = -1, commas: bool = True) -> Column:
-    """Number parse truncated to a long; unparseable becomes ``sentinel`` (or null)."""
-    v = to_number(c, commas).try_cast("long")
+    """Number parse truncated to a long; unparseable becomes ``sentinel`` (or null). The text of an
+    integer is read directly: through a double it would be rounded above 2 ** 53."""
+    s = F.col(c) if isinstance(c, str) else c
+    v = F.coalesce(F.when(strip(drop_commas(s) if commas else s).rlike("^[+-]?[0-9]+$"),
+                          strip(drop_commas(s) if commas else s).try_cast("long")),
+                   to_number(c, commas).try_cast("long"))
     return v if sentinel is None else F.coalesce(v, F.lit(sentinel).cast("long"))
 
 
@@ -89,14 +92,6 @@ def row_hash(cols: Iterable, null_token: str = "") -> Column:
     return F.sha2(F.concat_ws(UNIT_SEPARATOR, *parts), 256)
 
 
-def truncate(c, n: int) -> Column:
-    return F.substring(as_col(c), 1, n)
-
-
-def reason(name: str, check: str) -> str:
-    return f"{name}: {check}"
-
-
 def parse_date(c, formats: Sequence[str] = ("yyyy-M-d", "d/M/yyyy")) -> Column:
     """First format that parses wins; nothing parses -> null (never an error).
 
@@ -161,19 +156,6 @@ def relative_difference(a, b) -> Column:
     return F.try_divide(F.abs(as_col(a) - as_col(b)), as_col(b))
 
 
-def payload_json(cols: Sequence[str]) -> Column:
-    """Row to a JSON object keeping nulls and column order."""
-    return F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
-
-
 def not_blank(c) -> Column:
     s = as_col(c)
     return s.isNotNull() & (strip(s) != "")
-
-
-def case_on(code, mapping: Mapping[str, Column]) -> Column:
-    """Simple CASE on a code with no ELSE: unmatched codes give null."""
-    out = None
-    for k, v in mapping.items():
-        out = F.when(as_col(code) == k, v) if out is None else out.when(as_col(code) == k, v)
-    return out

@@ -6,7 +6,7 @@ the feed. Each step is an ordinary Spark application (``spark-submit -m`` or ``p
     python -m quarry.jobs gold
     python -m quarry.jobs feed   --out PATH/latest.json
     python -m quarry.jobs all    (every option above)
-    python -m quarry.jobs stream --fx-dir DIR [--checkpoint PATH]   (new FX files, landed once)
+    python -m quarry.jobs stream --fx-dir DIR --checkpoint PATH   (new FX files, landed once)
 
 A failing source is logged and the run goes on; the exit status is non-zero when any source
 or any data test failed.
@@ -24,8 +24,9 @@ from quarry.functions import fixed_values as fv
 
 
 def _spark(master: str | None) -> SparkSession:
-    from quarry.session import ensure_databases, get_spark
+    from quarry.session import ensure_databases, ensure_warehouse, get_spark
     spark = get_spark(master, app_name="quarry-jobs")
+    ensure_warehouse(spark)
     ensure_databases(spark)
     return spark
 
@@ -33,12 +34,16 @@ def _spark(master: str | None) -> SparkSession:
 def land_all(spark: SparkSession, fx: str | None, indicator: str | None, mobile: str | None,
              metric: str | None) -> int:
     from quarry.operators.landing import land, log_failure
-    from quarry.sources import extract_html_table, melt_wide, read_paged_json, read_ragged_csv
+    from quarry.sources import (assert_complete_pages, extract_html_table, flatten_paged_json, melt_wide,
+                                read_ragged_csv)
+    from quarry.sources.tabular import require_nonempty
 
     def indicator_rows():
         paths = ["indicator.id", "indicator.value", "countryiso3code", "country.value", "date", "value",
                  "unit", "obs_status"]
-        return read_paged_json(spark, indicator, dict(zip(fv.INDICATOR_COLUMNS, paths)))
+        docs = spark.read.text(indicator, wholetext=True)
+        assert_complete_pages(docs)
+        return flatten_paged_json(docs, dict(zip(fv.INDICATOR_COLUMNS, paths)))
 
     def mobile_rows():
         pages = spark.read.text(mobile, wholetext=True).withColumnRenamed("value", "html")
@@ -47,7 +52,8 @@ def land_all(spark: SparkSession, fx: str | None, indicator: str | None, mobile:
 
     def metric_rows():
         sheet = spark.read.csv(metric, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        return melt_wide(sheet, fv.METRIC_ID_COLUMNS, "period_raw", "value_raw", fv.METRIC_COLUMNS)
+        rows = melt_wide(sheet, fv.METRIC_ID_COLUMNS, "period_raw", "value_raw", fv.METRIC_COLUMNS)
+        return require_nonempty(rows, "the metric sheet")
 
     feeds = [("cbk_fx_csv", "bronze.cbk_fx_rates", fx, lambda: read_ragged_csv(spark, fx, fv.FX_COLUMNS)),
              ("worldbank_api", "bronze.worldbank_indicators", indicator, indicator_rows),
@@ -69,8 +75,7 @@ def land_all(spark: SparkSession, fx: str | None, indicator: str | None, mobile:
 
 def silver(spark: SparkSession, as_of: dt.date | None, parallel: int) -> int:
     from quarry.plans.silver import SOURCES, run_all
-    present = [s for s in SOURCES if spark.catalog.tableExists(s.bronze_table)]
-    return run_all(spark, present, as_of, parallel=parallel)
+    return run_all(spark, SOURCES, as_of, parallel=parallel)       # a source without bronze table fails and is logged
 
 
 def gold(spark: SparkSession) -> int:
@@ -96,7 +101,7 @@ def feed(spark: SparkSession, out: str) -> str:
                                  g["dim_date"], utc_now().isoformat(timespec="seconds")), out)
 
 
-def stream_fx(spark: SparkSession, folder: str, checkpoint: str | None) -> None:
+def stream_fx(spark: SparkSession, folder: str, checkpoint: str) -> None:
     """Land new headerless FX files from ``folder`` (each file once; replays insert nothing)."""
     from quarry.sources import parse_ragged_lines
     from quarry.streaming import land_stream
@@ -126,7 +131,9 @@ def main(argv: list[str] | None = None) -> int:
         bad += silver(spark, a.as_of, a.parallel)
     if a.step in ("gold", "all"):
         bad += gold(spark)
-    if a.step == "stream" and a.fx_dir:
+    if a.step == "stream" and not (a.fx_dir and a.checkpoint):
+        ap.error("stream needs --fx-dir and --checkpoint")
+    if a.step == "stream":
         stream_fx(spark, a.fx_dir, a.checkpoint)
         print(f"bronze.cbk_fx_rates: {spark.table('bronze.cbk_fx_rates').count()} rows")
     if a.step in ("feed", "all") and a.out:

@@ -22,13 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.scalar import row_hash
-from quarry.session import estimated_bytes
 
 HASH = "_source_row_hash"
 META_COLUMNS = ["_source", "_ingested_at", HASH]
-MIN_BUCKETS, MAX_BUCKETS = 16, 16384
-TARGET_BUCKET_BYTES = 256 * 1024 * 1024
-GROWTH = 8          # room for the table to grow past its first batch before buckets get large
+#: Buckets of a new bronze table unless its creator says otherwise; a compaction can change them.
+BUCKETS = 64
 
 INGESTION_LOG_SCHEMA = T.StructType([
     T.StructField("source", T.StringType(), False),
@@ -108,27 +106,13 @@ def landing_counts(df: DataFrame, source: str, ingested_at, target: DataFrame |
                          (F.col("rows_received") - F.col("rows_inserted")).alias("rows_skipped"))
 
 
-def bucket_count(df: DataFrame) -> int:
-    """Buckets for a new bronze table: a power of two sized from the first batch's estimated
-    bytes (times a growth allowance), between MIN_BUCKETS and MAX_BUCKETS, so one bucket of
-    one write stays a few hundred megabytes."""
-    size = estimated_bytes(df)
-    if size is None:          # no estimate: assume a large table
-        return MAX_BUCKETS // 16
-    want = max(1, (size * GROWTH) // TARGET_BUCKET_BYTES)
-    n = MIN_BUCKETS
-    while n < want and n < MAX_BUCKETS:
-        n *= 2
-    return n
-
-
 def _log(spark: SparkSession, rows: list[tuple], log_table: str) -> None:
     spark.createDataFrame(rows, INGESTION_LOG_SCHEMA).write.mode("append").saveAsTable(log_table)
 
 
 def land(spark: SparkSession, df: DataFrame, source: str, table: str,
          started_at: dt.datetime | None = None, log_table: str = "meta.ingestion_log",
-         buckets: int | None = None) -> LandingResult:
+         buckets: int = BUCKETS) -> LandingResult:
     """Append unseen rows of ``df`` to ``table`` and record the run in the ingestion log.
 
     One job: rows are grouped by hash (copies counted), marked seen/unseen against the
@@ -155,14 +139,16 @@ def land(spark: SparkSession, df: DataFrame, source: str, table: str,
         marked = groups.join(seen, on=HASH, how="left")
     else:
         marked = groups.withColumn("_seen", F.lit(None).cast("boolean"))
-    observed = marked.observe(counts, F.coalesce(F.sum("_n"), F.lit(0)).alias("received"),
-                              F.count_if(F.col("_seen").isNull()).alias("inserted"))
+    # dealt out by bucket, so that a landing adds one file to a bucket; counted after this last shuffle
+    n = table_buckets(spark, table) if exists else buckets
+    observed = marked.repartition(n, HASH).observe(counts, F.coalesce(F.sum("_n"), F.lit(0)).alias("received"),
+                                                F.count_if(F.col("_seen").isNull()).alias("inserted"))
     batch = observed.filter(F.col("_seen").isNull()).select(*[F.col(f"`{c}`") for c in cols])
     if exists:
         batch.select(*target.columns).write.insertInto(table)
     else:
         # an external table at a versioned folder, so a later compaction can re-point it
-        (batch.write.format("parquet").bucketBy(buckets or bucket_count(df), HASH).sortBy(HASH)
+        (batch.write.format("parquet").bucketBy(buckets, HASH).sortBy(HASH)
          .option("path", _version_path(spark, table)).saveAsTable(table))
     spark.catalog.refreshTable(table)
     got = counts.get
@@ -179,33 +165,43 @@ def _version_path(spark: SparkSession, table: str) -> str:
     return f"{base}/v{time.time_ns()}"
 
 
-def compact_bronze(spark: SparkSession, table: str, keep: int = 2) -> str:
-    """Rewrite a bronze table into its buckets at a new version folder and re-point it.
-
-    Every landing appends files to each bucket; compaction bounds the file count. The rows
-    are read from the current version and written bucketed and sorted exactly as on
-    creation (same bucket count), the table is pointed at the new folder, and only the
-    newest ``keep`` versions are kept. Landers must not run during a compaction.
-    """
-    from quarry.plans.silver import prune_versions
-    meta = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    spec = {r["col_name"]: r["data_type"] for r in meta}
+def table_buckets(spark: SparkSession, table: str) -> int:
+    """The bucket count of a bronze table; fails for a table without buckets."""
+    spec = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
     n = int(spec.get("Num Buckets", "0") or 0)
     if not n:
         raise ValueError(f"{table} is not a bucketed bronze table")
+    return n
+
+
+def compact_bronze(spark: SparkSession, table: str, buckets: int | None = None, keep_hours: float = 24) -> str:
+    """Rewrite a bronze table into ``buckets`` (default: as many as it has) at a new version folder
+    and re-point it.
+
+    Every landing adds a file to each bucket; compaction bounds the file count, and a table that
+    has outgrown its buckets gets more. Version folders older than ``keep_hours`` are deleted.
+    Landers must not run during a compaction.
+    """
+    from quarry.plans.silver import prune_versions
+    old = table_buckets(spark, table)
+    n = buckets or old
     loc = _version_path(spark, table)
     tmp = f"{table}__compacting"
     spark.sql(f"DROP TABLE IF EXISTS {tmp}")
-    (spark.table(table).write.format("parquet").bucketBy(n, HASH).sortBy(HASH)
+    (spark.table(table).repartition(n, HASH).write.format("parquet").bucketBy(n, HASH).sortBy(HASH)
      .option("path", loc).saveAsTable(tmp))
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{loc}'")
-    spark.sql(f"DROP TABLE {tmp}")                        # external: its files stay
+    if n == old:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{loc}'")
+        spark.sql(f"DROP TABLE {tmp}")                    # external: its files stay
+    else:                                                 # the bucket count belongs to the table
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {tmp} RENAME TO {table}")
     spark.catalog.refreshTable(table)
-    prune_versions(spark, loc.rsplit("/", 1)[0], keep)
+    prune_versions(spark, loc, keep_hours)
     return loc
 
 
 def log_failure(spark: SparkSession, source: str, table: str, error: str,
                 log_table: str = "meta.ingestion_log", at: dt.datetime | None = None) -> None:
-    """Record a failed extraction: zero counts, message cut at 2000 characters."""
-    _log(spark, [(source, table, at or utc_now(), 0, 0, 0, "error", error[:2000])], log_table)
+    """Record a failed extraction: zero counts, the whole message."""
+    _log(spark, [(source, table, at or utc_now(), 0, 0, 0, "error", error)], log_table)

@@ -95,11 +95,6 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     return child.filter(F.col(fk).isNotNull()).join(keys, on=fk, how="left_anti")
 
 
-def map_by(df: DataFrame, key: str, value: Column, name: str) -> DataFrame:
-    """One-row frame with a map key -> value (only for key sets of fixed, small size)."""
-    return df.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), value))).alias(name))
-
-
 def dropna(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(subset))
 

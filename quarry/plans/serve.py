@@ -50,10 +50,17 @@ def feed(fact_fx: DataFrame, fact_mm: DataFrame, fact_ind: DataFrame, dim: DataF
     own = latest_indicator(fact_ind).agg(F.map_from_entries(F.collect_list(F.struct(
         "country_iso3", F.struct(F.round("value", 1).alias("pct_adults_15plus"),
                                  F.col("year").cast("int").alias("as_of_year"))))).alias("account_ownership"))
-    doc = combine_rows([usd, regional, trend, own])
+    month = latest_month(fact_mm, dim).select(F.struct(
+        F.col("calendar_date").cast("string").alias("as_of_month"), F.round("registered_accounts_millions", 2).alias("registered_accounts_millions"),
+        F.col("active_agents"), F.round("agent_cico_volume_million", 2).alias("agent_cico_volume_million"),
+        F.round("agent_cico_value_ksh_billions", 2).alias("agent_cico_value_ksh_billions")).alias("latest_month"))
+    doc = combine_rows([usd, regional, trend, own, month])
     return doc.select(F.lit(1).alias("schema_version"), F.lit(str(generated_at)).alias("generated_at_utc"),
                       F.struct("kes_per_usd", "regional_units_per_kes").alias("fx"),
-                      F.col("cico_value_ksh_billions_last_12m"), F.col("account_ownership"))
+                      F.struct(*[F.col(f"latest_month.{c}").alias(c) for c in (
+                          "as_of_month", "registered_accounts_millions", "active_agents", "agent_cico_volume_million",
+                          "agent_cico_value_ksh_billions")], "cico_value_ksh_billions_last_12m").alias("kenya_mobile_money"),
+                      F.col("account_ownership"))
 
 
 def write_feed(doc: DataFrame, path: str) -> str:

@@ -16,15 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.landing import land
-from quarry.session import ensure_checkpoint_dir
 
 
 def land_stream(spark: SparkSession, path: str, schema: str, source: str, table: str,
-                fmt: str = "csv", options: dict | None = None, checkpoint: str | None = None,
+                checkpoint: str, fmt: str = "csv", options: dict | None = None,
                 log_table: str = "meta.ingestion_log", available_now: bool = True,
                 transform: Callable[[DataFrame], DataFrame] | None = None):
     """Start (and, with ``available_now``, finish) a stream landing files into ``table``.
 
+    ``checkpoint`` is the stream's own lasting folder: it knows which files have been read.
+
     ``transform`` is applied to each micro-batch before landing, e.g. reading raw lines
     (``fmt="text"``, ``schema="value string"``) and parsing them with
     :func:`quarry.sources.parse_ragged_lines`, which keeps overflow fields and empty fields
@@ -34,7 +35,6 @@ def land_stream(spark: SparkSession, path: str, schema: str, source: str, table:
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     stream = reader.load(path)
-    checkpoint = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "quarry-streams", table.replace(".", "_"))
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch

@@ -105,7 +105,8 @@ def test_whole_flow(spark):
                  gold["dim_date"], at).first().asDict(recursive=True)
     assert doc["fx"]["kes_per_usd"]["as_of"] == "2016-10-13"
     assert set(doc["fx"]["regional_units_per_kes"]) == {"UGX"}
-    assert [m["month"] for m in doc["cico_value_ksh_billions_last_12m"]] == ["2016-09-01", "2016-10-01"]
+    assert [m["month"] for m in doc["kenya_mobile_money"]["cico_value_ksh_billions_last_12m"]] == ["2016-09-01", "2016-10-01"]
+    assert doc["kenya_mobile_money"]["as_of_month"] == "2016-10-01" and doc["kenya_mobile_money"]["active_agents"] is not None
     assert doc["account_ownership"]["TZA"]["as_of_year"] == 2021
     # the remaining published queries
     dim = gold["dim_date"]

@@ -19,8 +19,6 @@ def test_relational_helpers(spark):
     assert [tuple(r) for r in sv.series_by(df, "k", "t", "v").filter("k = 'a'").collect()] == [("a", 1, 2.0), ("a", 2, 4.0)]
     assert [r["t"] for r in sv.sample_rows(df, ["t", "k"], 2).collect()] == [1, 1]
     assert sv.known_codes(fv.CURRENCY_LABELS)[:3] == ["AED", "AUD", "BIF"] and len(sv.known_codes(fv.CURRENCY_LABELS)) == 21
-    mp = sv.map_by(df.filter("k = 'a'"), "t", F.col("v"), "m").first()["m"]
-    assert mp == {1: 2.0, 2: 4.0}
 
 
 def test_size_checked_broadcast(spark):
