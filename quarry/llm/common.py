@@ -34,6 +34,7 @@ def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFram
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives a lost
     executor, and gives the optimizer the real size."""
     path, spark, schema = scratch_path(df.sparkSession, name), df.sparkSession, df.schema
+    release(spark)              # what the step before this one has shuffled
     df.write.option("compression", compression).parquet(path)
     del df
     release(spark)
