@@ -20,10 +20,14 @@ import sys
 from collections.abc import Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# worker code is shipped by value: executors need nothing installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Records handed on at a time.
 BATCH_RECORDS = 4096
 
