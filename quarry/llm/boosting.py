@@ -10,6 +10,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 @dataclass
@@ -79,6 +81,16 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 30, depth: int = 3, rate: flo
     return model
 
 
+def bounded_sample(rows: DataFrame, limit: int) -> np.ndarray:
+    """At most ``limit`` of the distinct rows (numbers only), those of the smallest hashes, as a matrix.
+    Tasks send the driver about ``limit`` rows together, however many tasks there are."""
+    steps = 1 << 24
+    rows = rows.distinct().withColumn("_order", F.xxhash64(*rows.columns))
+    share = min(steps, int(1.1 * steps * limit / max(1, rows.count())) + 1)
+    few = rows.where(F.pmod("_order", F.lit(steps)) < share).orderBy("_order").limit(limit).drop("_order")
+    return np.array([tuple(r) for r in few.collect()], float).reshape(-1, len(few.columns))
+
+
 def threshold_for_precision(scores: np.ndarray, y: np.ndarray, precision: float, least: int = 20) -> float | None:
     """Lowest score from which on at least ``precision`` of the rows are positive, with at least
     ``least`` rows; None if there is none. The precision counts a pseudo-negative (a calibrated

@@ -3,7 +3,7 @@
 Host and path are cut out with SQL functions; the longest fitting rule decides. All other urls
 get the verdict of gradient-boosted trees over length, depth, digit ratio, entropy, parameter
 counts and suffix statistics. The labelled urls are those that a rule decides; the trees are
-fitted on a sample of them of at most ``sample`` rows, the smallest url hashes. Suffix statistics
+fitted on at most ``sample`` of their distinct feature rows, those of the smallest hashes. Suffix statistics
 (number of urls and share of blocked ones, for the last host label and for the first path
 segment) are counted over all urls.
 
@@ -14,7 +14,6 @@ repeated rows get equal verdicts; an empty table gives no rows.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,9 +93,8 @@ def with_statistics(rows: DataFrame) -> DataFrame:
 def fit_verdicts(rows: DataFrame, sample: int = SAMPLE) -> boosting.Boosted:
     """Trees for "block", fitted on at most ``sample`` labelled rows that have the features."""
     labelled = rows.where("ruled is not null").select(
-        (F.col("ruled") == "block").cast("double").alias("y"), *[F.col(f).cast("double") for f in FEATURES],
-        F.xxhash64("u").alias("order")).orderBy("order").limit(sample).drop("order")
-    found = np.array([tuple(r) for r in labelled.collect()], float).reshape(-1, len(FEATURES) + 1)
+        (F.col("ruled") == "block").cast("double").alias("y"), *[F.col(f).cast("double").alias(f) for f in FEATURES])
+    found = boosting.bounded_sample(labelled, sample)
     return boosting.fit(found[:, 1:], found[:, 0])
 
 
