@@ -82,10 +82,10 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 30, depth: int = 3, rate: flo
 
 
 def bounded_sample(rows: DataFrame, limit: int) -> np.ndarray:
-    """At most ``limit`` of the distinct rows (numbers only), those of the smallest hashes, as a matrix.
-    Tasks send the driver about ``limit`` rows together, however many tasks there are."""
+    """At most ``limit`` rows (numbers only, and ``_order``: a hash that tells rows apart), those of the
+    smallest hashes, as a matrix. Tasks send the driver about ``limit`` rows together, however many
+    tasks there are."""
     steps = 1 << 24
-    rows = rows.distinct().withColumn("_order", F.xxhash64(*rows.columns))
     share = min(steps, int(1.1 * steps * limit / max(1, rows.count())) + 1)
     few = rows.where(F.pmod("_order", F.lit(steps)) < share).orderBy("_order").limit(limit).drop("_order")
     return np.array([tuple(r) for r in few.collect()], float).reshape(-1, len(few.columns))

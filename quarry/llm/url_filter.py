@@ -93,7 +93,8 @@ def with_statistics(rows: DataFrame) -> DataFrame:
 def fit_verdicts(rows: DataFrame, sample: int = SAMPLE) -> boosting.Boosted:
     """Trees for "block", fitted on at most ``sample`` labelled rows that have the features."""
     labelled = rows.where("ruled is not null").select(
-        (F.col("ruled") == "block").cast("double").alias("y"), *[F.col(f).cast("double").alias(f) for f in FEATURES])
+        (F.col("ruled") == "block").cast("double").alias("y"), *[F.col(f).cast("double").alias(f) for f in FEATURES]).distinct()
+    labelled = labelled.withColumn("_order", F.xxhash64(*labelled.columns))
     found = boosting.bounded_sample(labelled, sample)
     return boosting.fit(found[:, 1:], found[:, 0])
 
