@@ -35,13 +35,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import Remembered, annotate, materialize, read_table, scratch_path, vocabulary_path
+from quarry.llm.common import Remembered, annotate, materialize, pieces, read_table, scratch_path, vocabulary_path
 
 MODEL = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
-#: Distinct words that a worker remembers, in each of two generations; longer ones are not kept.
-CACHE_ENTRIES = 400_000
+#: Distinct words (letter parts) that a worker remembers, in each of two generations; longer ones
+#: are not kept. About 200 bytes an entry.
+CACHE_ENTRIES, CACHE_PARTS = 800_000, 500_000
 CACHE_BYTES = 64
 WORD_END = "</w>"
 #: Lower-case letters that normalizing leaves alone, and marks behind them without an apostrophe.
@@ -66,7 +67,7 @@ class WordTable:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         self.words = Remembered(self._words, CACHE_ENTRIES)
-        self.parts = Remembered(self._parts, CACHE_ENTRIES)
+        self.parts = Remembered(self._parts, CACHE_PARTS)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -131,8 +132,8 @@ def id_counts(tokens: DataFrame, width: str) -> dict[int, int]:
     def count(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for x in b.column(0):
-                own = np.bincount(np.frombuffer(x.as_buffer(), width))
+            for piece in pieces(b, 0):
+                own = np.bincount(np.frombuffer(b"".join(piece.column(0).to_pylist()), width))
                 if len(own) > len(total):
                     own[:len(total)] += total
                     total = own
@@ -206,9 +207,8 @@ def write_files(tokens: DataFrame, id_column: str, width: str, path: str, counts
                 names=["part", "offset", "n", "doc_ids", "lengths", "control", "data"])
 
         for b in batches:
-            for i in range(b.num_rows):
-                part = b.column(2)[i].as_py()
-                held.append((b.column(0)[i].as_py(), b.column(1)[i].as_py()))
+            for doc_id, ids, part in zip(*[c.to_pylist() for c in b.columns]):
+                held.append((doc_id, ids))
                 total += len(held[-1][1]) // np.dtype(width).itemsize
                 if total >= BLOCK_TOKENS:
                     out = block()
