@@ -207,6 +207,40 @@ def test_model_beats_its_own_start_on_held_out_documents(spark, monkeypatch):
     assert held[0] > raw[0] + 0.1 * held[1]
 
 
+def test_training_windows_cover_whole_texts(spark):
+    """A training text of 20,000 words gives all its ids to the training, each as a target once."""
+    path = lm_scoring.vocabulary_path(lm_scoring.MODEL)
+    rows = [(i, " ".join(f"w{(k * 7919) % 5003}" for k in range(n))) for i, n in ((1, 25), (2, 20_000), (3, 0), (4, 300), (5, 20_000))]
+    own = {r["doc_id"]: r["n_pieces"] for r in lm_scoring.score(frame(spark, rows)).collect()}
+    gathered = lm_scoring._gather(frame(spark, rows), path).where("ids is not null").collect()
+    coded = [np.frombuffer(r["ids"], "<u2").astype(np.int32) for r in gathered]
+    assert sorted(map(len, coded)) == sorted(own[i] for i, _ in rows if fold(i) != 2)
+    windows = attention.TextWindows(np.concatenate(coded), np.array(list(map(len, coded))), 1)
+    taken = windows[np.arange(len(windows))][:, attention.CONTEXT + 1:]
+    assert taken[taken >= 0].tolist() == np.concatenate(coded).tolist()
+    assert len(windows) == sum(-(-len(c) // attention.SCORED) for c in coded)
+    seen, targets, _ = attention.text_windows(windows.ids, windows.lengths, 1)
+    assert (targets == taken).all()
+    made = windows[np.arange(len(windows))][:, :-1]
+    assert (made == seen)[made != -2].all()
+
+
+def test_model_beats_the_unigram_on_held_out_documents(spark):
+    """The unigram of ids, counted in the training texts and add-one smoothed."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pieces = lm_scoring.Pieces(lm_scoring.vocabulary_path(lm_scoring.MODEL))
+    ids = {True: [], False: []}
+    for i, text in docs.select("doc_id", "text").collect():
+        words = lm_scoring.words_of(text)
+        ids[fold("" if i is None else i) == 2].append(b"".join(map(pieces.of([words]), words)) + np.array([pieces.end], "<u2").tobytes())
+    trained, held = [np.frombuffer(b"".join(ids[k]), "<u2") for k in (False, True)]
+    counts = np.bincount(trained, minlength=pieces.size) + 1.0
+    unigram = np.log10(counts[held] / counts.sum()).sum()
+    score, n = lm_scoring.score(docs).where("held_out").agg(F.sum("score"), F.sum("n_pieces")).first()
+    print("held out, log10 an id:", score / n, "unigram:", unigram / n)
+    assert n == len(held) and score > unigram + 0.05 * n
+
+
 # --- operator 9 ------------------------------------------------------------------------------
 
 URLS = [None, "", "no scheme", "http://", "https://Example.ORG/es/1?x=/", "http://a.example.org/es/", "http://example.org/en/19", "http://example.org/en/2",
