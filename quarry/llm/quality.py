@@ -4,8 +4,9 @@ Every text gets counts (words, symbols, repeated lines, repeated 8-word windows)
 over character classes and a histogram over the common words of its language. The references
 are learned from all documents of a language: the median share of each histogram bin, which a
 third of junk or copied rows cannot move far. A document is rejected if a base rule fails or if
-the Jensen-Shannon distance of one of its histograms to the reference is above the limit; texts
-below the minimum lengths are not judged by their histograms.
+the Jensen-Shannon distance of one of its histograms to the reference is above the limit. The
+limit for common words grows for short texts by what chance alone gives a clean text of as many
+words; only texts below the minimum of characters are not judged by their character classes.
 
 Two passes over the texts: the first yields a narrow histogram row a document, aggregated with
 mergeable percentile sketches; the second yields the verdicts, with the references (at most one
@@ -44,8 +45,14 @@ COMMON_WORDS = {
 #: Distances above these are a rejection; base-2 Jensen-Shannon distance, 0 to 1.
 MAX_CLASS_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.3
-#: Texts with fewer characters (words) are not judged by character classes (common words).
-MIN_CHARS, MIN_WORDS = 200, 200
+#: Texts with fewer characters are not judged by character classes and give no references.
+MIN_CHARS = 200
+#: From so many words on the limit of the word distance is MAX_WORD_DISTANCE, below it :func:`word_limits`.
+MIN_WORDS = 200
+#: Word references come from texts of MIN_WORDS if a language has so many, else from all texts.
+LONG_TEXTS = 30
+#: Standard deviations above the mean that the distance of a clean short text may have.
+SPREAD = 4
 #: Characters from here on count as one class.
 TABLE_SIZE = 0x3000
 
@@ -161,13 +168,33 @@ class CommonWords:
         return np.column_stack([own, rows[:, -1] - own.sum(axis=1)])
 
 
+def word_limits(q: np.ndarray, most: float) -> np.ndarray:
+    """Limit of the distance to the histogram ``q`` by number of words, below MIN_WORDS: the mean and
+    SPREAD standard deviations of the divergence of texts drawn from ``q``, and at least ``most``."""
+    q = q / q.sum()
+    logs = np.concatenate([[0], np.cumsum(np.log(np.arange(1, MIN_WORDS)))])
+    out = np.full(MIN_WORDS, 1.0)
+    for n in range(1, MIN_WORDS):
+        x = np.clip(q, 0.05 / n, 1 - 1e-9)[:, None]         # an empty bin: met in one text of twenty
+        k = np.arange(n + 1)
+        chance = np.exp(logs[n] - logs[k] - logs[n - k] + k * np.log(x) + (n - k) * np.log1p(-x))
+        m = (k / n + x) / 2
+        part = (np.where(k > 0, k / n * np.log2(np.maximum(k, 1) / n / m), 0) + x * np.log2(x / m)) / 2
+        mean = (chance * part).sum(axis=1)
+        var = (chance * part ** 2).sum(axis=1) - mean ** 2
+        out[n] = max(most, np.sqrt(max(0, mean.sum() + SPREAD * np.sqrt(max(0, var.sum())))))
+    return out
+
+
 def language_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict:
-    """Median share of every histogram bin in all documents of each language of the table that
-    are long enough to be judged: {lang: (character classes, common words)}."""
+    """{lang: (character classes, common words)} of each language of the table: the median share of
+    every histogram bin in all documents of MIN_CHARS. Medians of rare words in short texts are 0,
+    so word shares are medians of the documents of MIN_WORDS; without LONG_TEXTS of them, the mean of
+    the nine deciles of all documents."""
     both = docs.select(docs[f"`{lang}`"].cast("string").alias("lang"), docs[f"`{text}`"].cast("string").alias("text")) \
         .where(F.col("lang").isin(sorted(COMMON_WORDS))).select(F.concat_ws("\t", "lang", "text").alias("both"))
     fields = [("lang", T.StringType()), ("classes", T.ArrayType(T.DoubleType())),
-              ("common", T.ArrayType(T.DoubleType()))]
+              ("common", T.ArrayType(T.DoubleType())), ("long", T.BooleanType())]
 
     def make():
         table, common = _class_table(), CommonWords()
@@ -176,22 +203,27 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang")
             parted = [r.partition("\t") for r in rows]
             texts = [t for _, _, t in parted]
             words = [WORD.findall(t) for t in texts]
-            long = [len(t) >= MIN_CHARS and len(w) >= MIN_WORDS for t, w in zip(texts, words)]
+            judged = [len(t) >= MIN_CHARS and len(w) > 0 for t, w in zip(texts, words)]
             counted = common.histograms(words)
-            return [[k if ok else None for (k, _, _), ok in zip(parted, long)],
-                    [(class_histogram(t, table) / len(t)).tolist() if ok else None for t, ok in zip(texts, long)],
+            return [[k if ok else None for (k, _, _), ok in zip(parted, judged)],
+                    [(class_histogram(t, table) / len(t)).tolist() if ok else None for t, ok in zip(texts, judged)],
                     [(common.of(counted[i:i + 1], k)[0] / len(w)).tolist() if ok else None
-                     for i, ((k, _, _), w, ok) in enumerate(zip(parted, words, long))]]
+                     for i, ((k, _, _), w, ok) in enumerate(zip(parted, words, judged))],
+                    [len(w) >= MIN_WORDS for w in words]]
         return fn
 
     rows = annotate(both, "both", fields, make).where(F.col("lang").isNotNull())
     most = max(len(v.split()) for v in COMMON_WORDS.values()) + 1
     bins = [F.percentile_approx(F.get("classes", F.lit(i)), 0.5, 1000).alias(f"c{i}") for i in range(CLASSES)]
-    bins += [F.percentile_approx(F.get("common", F.lit(i)), 0.5, 1000).alias(f"w{i}") for i in range(most)]
+    common = [F.get("common", F.lit(i)) for i in range(most)]
+    bins += [F.percentile_approx(F.when(F.col("long"), c), 0.5, 1000).alias(f"w{i}") for i, c in enumerate(common)]
+    bins += [F.percentile_approx(c, [k / 10 for k in range(1, 10)], 1000).alias(f"s{i}") for i, c in enumerate(common)]
+    bins.append(F.count_if("long").alias("long"))
     found = {}
     for r in rows.groupBy("lang").agg(*bins).collect():       # one row for each listed language at most
         classes = np.array([r[f"c{i}"] for i in range(CLASSES)])
-        common = np.array([r[f"w{i}"] for i in range(len(COMMON_WORDS[r["lang"]].split()) + 1)])
+        own = range(len(COMMON_WORDS[r["lang"]].split()) + 1)
+        common = np.array([r[f"w{i}"] if r["long"] >= LONG_TEXTS else np.mean(r[f"s{i}"]) for i in own])
         if classes.sum() > 0 and common.sum() > 0:
             found[r["lang"]] = (classes, common)
     return found
@@ -207,6 +239,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", references: d
     """``docs`` as struct ``row`` with the counts, both distances (null: not judged) and ``kept``."""
     if references is None:
         references = language_references(docs, text, lang)
+    limits = [word_limits(w, max_word) for _, w in references.values()]
 
     def make():
         table, common = _class_table(), CommonWords()
@@ -219,15 +252,17 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", references: d
                 classes = np.array([class_histogram(t, table) for t in texts], float)
                 counted = common.histograms(words)
                 by_class = np.min([js_distances(classes, c) for c, _ in references.values()], axis=0)
-                by_word = np.min([js_distances(common.of(counted, k), w) for k, (_, w) in references.items()], axis=0)
+                every = np.array([js_distances(common.of(counted, k), w) for k, (_, w) in references.items()])
+                nearest, by_word = every.argmin(axis=0), every.min(axis=0)
             rows = []
             for i, (t, own, repeat) in enumerate(zip(texts, words, repeats)):
                 lines = [x for x in t.split("\n") if x.strip(" \t\x0b\x0c\r")]
                 n = len(own)
                 failed = n < 20 or 100 * repeat > 30 * n
                 c = float(by_class[i]) if references and len(t) >= MIN_CHARS else None
-                w = float(by_word[i]) if references and n >= MIN_WORDS else None
-                kept = not (failed or (c or 0) > max_class or (w or 0) > max_word)
+                w = float(by_word[i]) if references and n else None
+                most = limits[nearest[i]][n] if w is not None and n < MIN_WORDS else max_word
+                kept = not (failed or (c or 0) > max_class or (w or 0) > most)
                 rows.append((n, sum(map(len, own)), sum(map(t.count, SYMBOLS)), len(lines) - len(set(lines)),
                              repeat, failed, c, w, kept))
             return list(zip(*rows)) if rows else [[] for _ in FIELDS]

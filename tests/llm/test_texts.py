@@ -69,6 +69,35 @@ def test_quality_separates_junk_and_keeps_clean(spark):
     assert kept[1] > 0.99 and kept[0] < 0.8
 
 
+def short_texts(clean, junk):
+    """Texts of 80 to 190 words: common words among others as in prose, and none at all."""
+    rng, common = np.random.default_rng(4), quality.COMMON_WORDS["en"].split()
+    share = 0.4 * (w := 1 / np.arange(2, len(common) + 2)) / w.sum()
+
+    def text(listed):
+        n = int(rng.integers(80, 190))
+        return " ".join(common[i] if listed and i < len(common) else f"{rng.choice(['lorim', 'dasel', 'motar', 'venip'])}{'abcdefgh'[k % 8]}{'aeiou'[k % 5]}"
+                        for k, i in enumerate(rng.choice(len(common) + 1, n, p=[*share, 1 - share.sum()])))
+    return [(i, text(i < clean)) for i in range(clean + junk)]
+
+
+def test_quality_judges_short_texts(spark):
+    """A table without any text of 200 words."""
+    rows = short_texts(300, 60)
+    out = quality.judge(frame(spark, rows, extra=True)).where("not base_failed").select("row.doc_id", "kept", "class_distance").collect()
+    kept = {k: [r["kept"] for r in out if (r["doc_id"] < 300) == k] for k in (True, False)}
+    assert len(out) > 300 and np.mean(kept[True]) > 0.99 and not any(kept[False])
+    assert all(r["class_distance"] is not None for r in out)
+
+
+def test_word_limits_hold_for_drawn_texts():
+    rng, q = np.random.default_rng(1), np.array([6.0, 4, 3, 2, 2, 1, 1, 1, 0.5, 60])
+    limits = quality.word_limits(q, 0.1)
+    for n in (20, 60, 150):
+        d = quality.js_distances(rng.multinomial(n, q / q.sum(), 2000).astype(float), q)
+        assert (d > limits[n]).mean() < 0.005 and np.median(d) < limits[n] < 2.5 * np.median(d)
+
+
 def test_quality_without_references_and_empty(spark):
     assert quality.judge(frame(spark, []).withColumn("lang", F.lit("xx"))).count() == 0
     plain = quality.judge(frame(spark, supplied(20)).withColumn("lang", F.lit(None).cast("string")))
