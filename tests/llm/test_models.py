@@ -96,6 +96,27 @@ def test_trees_add_what_looks_alike(spark):
     assert extra[9999] == 1 and sum(extra.values()) < 20
 
 
+def test_common_wide_forms_are_added(spark):
+    """Spelled-out addresses as common as written ones, numbers without plus sign, and prose alike."""
+    rows = [(i, f"write to jo{i} at site{i} dot com soon" if i % 2 else f"write to jo{i}@site{i}.com soon") for i in range(3000)]
+    rows += [(5000, "it points at each dot on the map"), (5001, "ask ann [at] site [dot] museum now"), (5002, "phone 212 555 0199 now"),
+             (5003, "server: 10, 0, 0, 1"), (5004, "visa: 4111.1111.1111.1111"), (5005, "visa: 4111.1111.1111.1112"), (5006, "lot 212 555 0199")]
+    found = pii.find_candidates(frame(spark, rows)).persist()
+    for models in (pii.fit_models(found, sample=2000), {}):
+        out = {r["doc_id"]: [x["kind"] for x in r["spans"]] for r in pii.select_spans(found, models).select("row.doc_id", "spans").collect()}
+        assert all(out[i] == [0] for i in range(3000))
+        assert [out[i] for i in range(5001, 5005)] == [[0], [3], [1], [2]]
+        assert out[5000] == out[5005] == out[5006] == []
+    masked = {r["doc_id"]: r["text"] for r in pii.redact(frame(spark, rows[:4] + rows[-7:])).collect()}
+    assert masked[1] == "write to [EMAIL] soon" and masked[5000] == rows[3000][1]
+
+
+def test_a_rare_kind_gets_its_own_sample(spark):
+    rows = [(i, f"lot {10 ** 9 + i * 7919} in stock") for i in range(6000)]
+    rows += [(10_000 + i, f"from 10.{i % 200}.3.{i % 250} to" if i % 2 else f"steps {i % 9}, {i % 7}, 3, 4 to") for i in range(400)]
+    assert 1 in pii.fit_models(pii.find_candidates(frame(spark, rows)).persist(), sample=1000)
+
+
 def test_redaction(spark):
     rows = PERSONAL[:6] + [(50, None), (51, ""), (52, "nothing")]
     out = {r["doc_id"]: r["text"] for r in pii.redact(frame(spark, rows, extra=True)).collect()}
