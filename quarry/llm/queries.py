@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quarry.llm import (decontaminate, jaccard, lm_scoring, pieces_codec, pii, quality, suffix_dedup, token_counts,
-                        token_files, url_filter)
+from quarry.llm import (decontaminate, jaccard, lm_scoring, periodic_runs, pieces_codec, pii, quality, quality_pu,
+                        ranked_search, suffix_dedup, token_counts, token_files, url_filter)
 
 QUERIES = {
     "op1_prefix_free_parsing": suffix_dedup.op1_prefix_free_parsing,
@@ -16,9 +16,13 @@ QUERIES = {
     "op8_attention_lm": lm_scoring.op8_attention_lm,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_token_files": token_files.op10_token_files,
+    "op11_bag_search": ranked_search.op11_bag_search,
+    "op12_quality_pu": quality_pu.op12_quality_pu,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 
 ORACLE_SQL = {
     "op2_wu_manber": decontaminate.OP2_SQL,
     "op6_jaccard_join": jaccard.OP6_SQL,
+    "op11_bag_search": ranked_search.OP11_SQL,
 }

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     names = [k for k in E.queries() if k.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries()
 
 
