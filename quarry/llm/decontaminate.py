@@ -12,8 +12,8 @@ The benchmark is the stated query set. It is read on the driver in blocks of ite
 makes several passes that add to the same hit columns, without a shuffle of documents.
 
 Defined results: null or empty texts have no words, no hits and the digest of the empty string;
-null items and items without words match nothing; repeated items each count by their id (null
-ids are ignored); repeated documents get equal results; an empty benchmark hits nothing.
+items without text or words match nothing; repeated items count once by their id; the windows of
+an item with a null id hit like any other, but it is neither counted nor listed among the items; repeated documents get equal results; an empty benchmark hits nothing.
 """
 
 from __future__ import annotations
@@ -88,7 +88,8 @@ def compile_patterns(items: list[tuple]) -> tuple[list[WuManber], list[frozenset
             number = numbers.setdefault(pattern, len(owners))
             if number == len(owners):
                 owners.append(set())
-            owners[number].add(item)
+            if item is not None:
+                owners[number].add(item)
     tables: dict[int, WuManber] = {}
     for pattern, number in numbers.items():
         tables.setdefault(len(pattern), WuManber(len(pattern))).add(pattern, number)
@@ -122,7 +123,7 @@ def benchmark_blocks(benchmark: DataFrame, id_column: str, text: str, block_byte
     """The items in blocks of at most ``block_bytes`` of text (one item at least)."""
     block, size = [], 0
     rows = benchmark.select(F.col(id_column).cast("string").alias("i"), F.col(text).cast("string").alias("t"))
-    for r in rows.where("i is not null and t is not null").toLocalIterator():
+    for r in rows.where("t is not null").toLocalIterator():
         n = len(r["t"].encode())
         if block and size + n > block_bytes:
             yield block
@@ -200,16 +201,16 @@ def _words_sql(column: str) -> str:
 
 OP2_SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_words_sql('text')} AS w FROM documents),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words_sql('text')} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words_sql('text')} AS w FROM benchmark),
 p AS (SELECT DISTINCT item, least(len(w), 10) AS m, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
       FROM b, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(i) WHERE len(w) > 0),
 m AS (SELECT DISTINCT m FROM p),
 x AS (SELECT r, m, i, array_to_string(w[i:i + m - 1], ' ') AS s
       FROM d, m, unnest(range(1, len(w) - m + 2)) AS t(i)),
-h AS (SELECT r, i, x.m AS m, item FROM x JOIN p ON x.m = p.m AND x.s = p.s),
+h AS (SELECT r, i, x.m AS m, p.item FROM x JOIN p ON x.m = p.m AND x.s = p.s),
 c AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS j FROM h) GROUP BY r),
 k AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-      FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+      FROM (SELECT DISTINCT r, item FROM h WHERE item IS NOT NULL) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated

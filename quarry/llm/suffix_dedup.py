@@ -2,7 +2,7 @@
 
 Every byte that lies in a string of ``LENGTH`` bytes which also starts anywhere else is removed.
 
-Parse. A rolling hash over 32-byte strings picks triggers: in every string of LENGTH bytes the
+Parse. A hash of all 32-byte strings picks triggers: in every string of LENGTH bytes the
 position of its smallest hash. Equal strings have their trigger at the same place, so each
 trigger's phrase - the bytes around it that any such string through it can reach - decides on its
 own which of them repeat. The corpus becomes a parse: one narrow row a trigger, with the hash of
@@ -19,7 +19,9 @@ rest is hashed. Texts are dealt out twice (dictionary, removal); everything else
 trigger with more than ``GROUP`` distinct phrases is not gathered: its fingerprints are counted by
 a shuffle instead, which gives the same runs.
 
-Fingerprints are 64 bits wide. Defined results: null counts as empty; texts shorter than LENGTH
+Fingerprints are 64 bits wide and compared within a trigger only. Phrases are hashed by BLAKE2; strings by
+doubling with a scrambling step at each level, in which structured text cannot cancel as it
+does in a polynomial modulo a power of two. Defined results: null counts as empty; texts shorter than LENGTH
 keep all bytes; repeated rows are repeats of each other (also rows of one doc_id); matches never
 cross documents; an empty table gives no rows; long texts are parsed in segments.
 """
@@ -55,23 +57,49 @@ def mix(x):
     return x ^ (x >> U(31))
 
 
-class Rolling:
-    """Fingerprints of any stretch of a byte string by differences of prefix sums."""
+class Prints:
+    """Fingerprints of all strings of one length at once, by halves: eight bytes are a number of their
+    own, and each doubling combines two neighbours and scrambles the result. No sum runs
+    through a string, so nothing in its structure can cancel."""
 
-    BASE = 0x9E3779B97F4A7C15
+    FACTOR = U(0x9E3779B97F4A7C15)
 
-    def __init__(self, size: int):
-        self.letters = mix(np.arange(1, 257, dtype=np.uint64) * U(0xD1B54A32D192ED03))
-        self.up = np.cumprod(np.full(size, self.BASE, np.uint64))
-        self.down = np.cumprod(np.full(size + 1, pow(self.BASE, -1, 1 << 64), np.uint64))
+    def __init__(self, key: int = 0xD1B54A32D192ED03):
+        self.key = U(key)
 
-    def sums(self, data: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.letters[data] * self.up[:len(data)], out=out[1:])
+    def doubled(self, x: np.ndarray, step: int) -> np.ndarray:
+        return mix(x[..., :-step] * self.FACTOR + x[..., step:])
+
+    def levels(self, data: np.ndarray, size: int) -> dict[int, np.ndarray]:
+        """For 8, 16, ... ``size``: the prints of all strings of so many bytes along the last axis."""
+        x = data.astype(np.uint64)
+        for step in (1, 2, 4):
+            x = x[..., :-step] | (x[..., step:] << U(8 * step))
+        out, n = {8: mix(x ^ self.key)}, 8
+        while n < size:
+            out[2 * n] = self.doubled(out[n], n)
+            n *= 2
+        return out
+
+    def grams(self, data: np.ndarray) -> np.ndarray:
+        """Prints of all GRAM-byte strings."""
+        return self.levels(data, GRAM)[GRAM]
+
+    def strings(self, data: np.ndarray) -> np.ndarray:
+        """Prints of all LENGTH-byte strings along the last axis: its powers of two, from the largest on."""
+        parts = self.levels(data, 1 << (LENGTH.bit_length() - 1))
+        count, at, out = data.shape[-1] - LENGTH + 1, 0, None
+        for size in sorted(parts, reverse=True):
+            if LENGTH & size:
+                part = parts[size][..., at:at + count]
+                out = part if out is None else mix(out * self.FACTOR + part)
+                at += size
         return out
 
-    def of(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((sums[end] - sums[start]) * self.down[start])
+
+def whole_print(data: bytes) -> int:
+    """64 bits of a phrase (BLAKE2), as a signed number."""
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
 
 def smallest(values: np.ndarray, width: int) -> np.ndarray:
@@ -86,15 +114,12 @@ def smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1:width - 1 + n])
 
 
-def parse(data: np.ndarray, rolling: Rolling, segment: int = SEGMENT):
+def parse(data: np.ndarray, prints: Prints, segment: int = SEGMENT):
     """(position, bytes before, bytes after, trigger hash, phrase hash) arrays of a text's triggers."""
-    n, last, out = len(data), -1, []
+    n, last, out, raw = len(data), -1, [], data.tobytes()
     for p in range(0, n - LENGTH + 1, segment):
         end = min(p + segment, n - LENGTH + 1)              # starts p .. end - 1
-        low, high = max(0, p - REACH), min(n, end + REACH + LENGTH)
-        sums = rolling.sums(data[low:high])
-        at = np.arange(p, end + REACH) - low                # grams that strings of this segment hold
-        grams = rolling.of(sums, at, at + GRAM)
+        grams = prints.grams(data[p:end + LENGTH - 1])      # those that strings of this segment hold
         # equal hashes: the rightmost position wins, wherever the string lies
         packed = (grams >> U(21) << U(21)) | (U((1 << 21) - 1) - np.arange(len(grams), dtype=np.uint64))
         least = smallest(packed, REACH + 1)
@@ -106,8 +131,8 @@ def parse(data: np.ndarray, rolling: Rolling, segment: int = SEGMENT):
         position = where + p
         last = int(position[-1])
         before, after = np.minimum(position, REACH), np.minimum(n - position, LENGTH)
-        phrase = rolling.of(sums, position - before - low, position + after - low)
-        phrase = mix(phrase ^ (before * 1024 + after).astype(np.uint64))
+        phrase = np.array([whole_print(raw[i - b:i + a] + b.to_bytes(2)) for i, b, a
+                           in zip(position.tolist(), before.tolist(), after.tolist())], np.int64)
         out.append((position, before, after, grams[where], phrase))
     return [np.concatenate(c) for c in zip(*out)] if out else None
 
@@ -127,13 +152,13 @@ def parse_documents(docs: DataFrame) -> DataFrame:
     names = ["d", "th", "pos", "before", "after", "trigger", "phrase"]
 
     def run(batches):
-        rolling = Rolling(SEGMENT + 2 * (REACH + LENGTH))
+        prints = Prints()
         for batch in batches:
             for piece in pieces(batch, 2):
                 parts = []
                 for d, th, t in zip(*[piece.column(i).to_pylist() for i in range(3)]):
                     data = np.frombuffer(t.encode(), np.uint8)
-                    found = parse(data, rolling) if len(data) >= LENGTH else None
+                    found = parse(data, prints) if len(data) >= LENGTH else None
                     if found:
                         k = len(found[0])
                         parts.append((np.full(k, d), np.full(k, th), *found))
@@ -142,7 +167,7 @@ def parse_documents(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([
                         pa.array(d, pa.int64()), pa.array(th, pa.int64()), pa.array(pos, pa.int64()),
                         pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32)),
-                        pa.array(trigger.view(np.int64)), pa.array(phrase.view(np.int64))], names=names)
+                        pa.array(trigger.view(np.int64)), pa.array(phrase)], names=names)
 
     return docs.select("d", "th", "text").mapInArrow(run, PARSE)
 
@@ -168,19 +193,16 @@ def _dictionary(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         run, "trigger long, phrase long, n long, before int, after int, bytes binary")
 
 
-def fingerprints(before: np.ndarray, after: np.ndarray, data: list[bytes], rolling: Rolling):
+def fingerprints(before: np.ndarray, after: np.ndarray, data: list[bytes], prints: Prints):
     """Matrix of the fingerprints of every LENGTH-byte string of every phrase (a column for each
     distance REACH .. 0 before the trigger), and which of them exist."""
     width = REACH + LENGTH
     letters = np.zeros((len(data), width), np.uint8)
     for row, b, x in zip(letters, before, data):
         row[REACH - b:REACH - b + len(x)] = np.frombuffer(x, np.uint8)
-    sums = np.zeros((len(data), width + 1), np.uint64)
-    np.cumsum(rolling.letters[letters] * rolling.up[:width], axis=1, out=sums[:, 1:])
     columns = np.arange(REACH + 1)
-    prints = mix((sums[:, columns + LENGTH] - sums[:, columns]) * rolling.down[columns])
     exist = (columns >= REACH - before[:, None]) & (columns + LENGTH <= REACH + after[:, None])
-    return prints, exist
+    return prints.strings(letters), exist
 
 
 def repeated(trigger: np.ndarray, prints: np.ndarray, exist: np.ndarray) -> np.ndarray:
@@ -202,7 +224,7 @@ RUN = "trigger long, phrase long, low int, high int"
 def _runs(dictionary: DataFrame) -> DataFrame:
     """(trigger, phrase, low, high): the run of each phrase that repeats, relative to the trigger,
     by comparing the phrases of a trigger in memory (streams of sorted rows)."""
-    def result(held, rolling):
+    def result(held, source):
         trigger = np.array([h[0] for h in held], np.int64)
         before = np.array([h[3] for h in held], np.int64)
         after = np.array([h[4] for h in held], np.int64)
@@ -213,7 +235,7 @@ def _runs(dictionary: DataFrame) -> DataFrame:
         prints, exist = None, None
         for c in columns:      # so many columns at a time that a large group needs no more memory than a small one
             if prints is None or step <= REACH:
-                prints, exist = part(held, before, after, c, min(c + step, REACH + 1), rolling)
+                prints, exist = part(held, before, after, c, min(c + step, REACH + 1), source)
             hit = repeated(trigger, prints, exist)
             any_hit = hit.any(axis=1)
             low[any_hit] = np.minimum(low[any_hit], c + hit.argmax(axis=1)[any_hit])
@@ -226,16 +248,16 @@ def _runs(dictionary: DataFrame) -> DataFrame:
             pa.array(trigger[keep]), pa.array(np.array([h[1] for h in held], np.int64)[keep]),
             pa.array(low[keep].astype(np.int32)), pa.array(high[keep].astype(np.int32))], names=["trigger", "phrase", "low", "high"])
 
-    def part(held, before, after, start, end, rolling):
+    def part(held, before, after, start, end, source):
         prints, exist = [], []
         for i in range(0, len(held), STEP):
-            x, y = fingerprints(before[i:i + STEP], after[i:i + STEP], [h[5] for h in held[i:i + STEP]], rolling)
+            x, y = fingerprints(before[i:i + STEP], after[i:i + STEP], [h[5] for h in held[i:i + STEP]], source)
             prints.append(x[:, start:end])
             exist.append(y[:, start:end])
         return np.concatenate(prints), np.concatenate(exist)
 
     def run(batches):
-        rolling = Rolling(REACH + LENGTH + 1)
+        source = Prints()
         done, group = [], []            # whole groups, and the one that is going on
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns]):
@@ -243,12 +265,12 @@ def _runs(dictionary: DataFrame) -> DataFrame:
                     done += group
                     group = []
                     if len(done) >= STEP:
-                        yield result(done, rolling)
+                        yield result(done, source)
                         done = []
                 if not group or row[1] != group[-1][1]:         # a phrase cut from two equal texts comes once
                     group.append(row)
         if done or group:
-            yield result(done + group, rolling)
+            yield result(done + group, source)
 
     return dictionary.select("trigger", "phrase", "n", "before", "after", "bytes").repartition("trigger") \
         .sortWithinPartitions("trigger", "phrase").mapInArrow(run, RUN)
@@ -257,12 +279,12 @@ def _runs(dictionary: DataFrame) -> DataFrame:
 def _runs_by_shuffle(dictionary: DataFrame) -> DataFrame:
     """The same for triggers of very many phrases: fingerprints are counted by a shuffle."""
     def run(batches):
-        rolling = Rolling(REACH + LENGTH + 1)
+        source = Prints()
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 trigger, phrase, before, after = [part.column(j).to_numpy().astype(np.int64) for j in (0, 1, 3, 4)]
-                prints, exist = fingerprints(before, after, part.column(5).to_pylist(), rolling)
+                prints, exist = fingerprints(before, after, part.column(5).to_pylist(), source)
                 value = mix(prints ^ trigger.view(np.uint64)[:, None])
                 row, column = np.nonzero(exist)
                 yield pa.RecordBatch.from_arrays([
@@ -341,11 +363,11 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
 
 
 def removal_digests(docs: DataFrame, id_column: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, taken where the bytes are."""
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, has_repeats, taken where the bytes are."""
     return _removal(docs, id_column, text, group, [
         ("n_bytes", pa.int64(), "long"), ("n_removed", pa.int64(), "long"), ("n_spans", pa.int64(), "long"),
-        ("kept_sha256", pa.string(), "string")],
-        lambda data, spans, kept: (len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
+        ("kept_sha256", pa.string(), "string"), ("has_repeats", pa.bool_(), "boolean")],
+        lambda data, spans, kept: (len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), bool(spans)))
 
 
 def op1_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ def removed(rows):
         runs = int((keep[:-1] & ~keep[1:]).sum()) + (len(b) > 0 and not keep[0])
         runs = int(sum(not keep[k] and (k == 0 or keep[k - 1]) for k in range(len(b))))
         kept = bytes(np.frombuffer(b, np.uint8)[keep[:-1]])
-        out.append((i, len(b), len(b) - len(kept), runs, hashlib.sha256(kept).hexdigest()))
+        out.append((i, len(b), len(b) - len(kept), runs, hashlib.sha256(kept).hexdigest(), len(kept) < len(b)))
     return out
 
 
@@ -66,9 +66,9 @@ def test_kept_bytes_and_empty_table(spark):
 @pytest.mark.parametrize("segment", [100, 401, 1 << 19])
 def test_segments_of_a_long_text_find_the_same_triggers(segment):
     rng = np.random.default_rng(2)
-    rolling = suffix_dedup.Rolling(suffix_dedup.SEGMENT + 2000)
+    prints = suffix_dedup.Prints()
     for data in (rng.integers(97, 105, 5000).astype(np.uint8), np.full(3000, 97, np.uint8), np.tile(np.arange(50, 90, dtype=np.uint8), 60)):
-        whole, cut = suffix_dedup.parse(data, rolling), suffix_dedup.parse(data, rolling, segment)
+        whole, cut = suffix_dedup.parse(data, prints), suffix_dedup.parse(data, prints, segment)
         for x, y in zip(whole, cut):
             assert (x == y).all()
         # every string of LENGTH bytes holds a trigger's gram
@@ -77,6 +77,24 @@ def test_segments_of_a_long_text_find_the_same_triggers(segment):
             assert whole[0][k] <= p + suffix_dedup.REACH
 
 
+def balanced(u, w, swapped):
+    """Words in Thue-Morse order: such texts cancel in a polynomial modulo a power of two, whatever its base."""
+    return "".join((u, w)[(bin(i).count("1") + swapped) % 2] for i in range(64))
+
+
+def test_structured_texts_that_do_not_repeat_keep_all_bytes(spark):
+    rng, rows = random.Random(11), []
+    for k in range(60):
+        u, w, tail = ("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in (5, 5, 80))
+        rows += [(2 * k, balanced(u, w, 0) + tail), (2 * k + 1, balanced(u, w, 1) + tail)]
+    assert all(len(t) == L for _, t in rows) and len({t for _, t in rows}) == len(rows)
+    out = suffix_dedup.removal_digests(frame(spark, rows)).collect()
+    assert {r["n_removed"] for r in out} == {0} and not any(r["has_repeats"] for r in out)
+    prints = suffix_dedup.Prints()
+    strings = prints.strings(np.array([list(t.encode()) for _, t in rows], np.uint8))
+    assert len(np.unique(strings)) == len(rows)
+
+
 # --- operator 6 ------------------------------------------------------------------------------
 
 def sets(text):

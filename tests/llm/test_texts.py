@@ -197,9 +197,10 @@ def contamination(rows, items):
     for item, text in items:
         w = WORD2.findall(lower(text))
         m = min(10, len(w))
-        if item is not None and m:
-            for i in range(len(w) - m + 1):
-                patterns.setdefault(tuple(w[i:i + m]), set()).add(str(item))
+        for i in range(len(w) - m + 1 if m else 0):
+            owners = patterns.setdefault(tuple(w[i:i + m]), set())
+            if item is not None:        # windows of an item without id hit, too
+                owners.add(str(item))
     out = []
     for i, t in rows:
         w = WORD2.findall(lower(t))
@@ -207,7 +208,7 @@ def contamination(rows, items):
         for m in {len(p) for p in patterns}:
             for k in range(len(w) - m + 1):
                 own = patterns.get(tuple(w[k:k + m]))
-                if own:
+                if own is not None:
                     hit |= set(range(k, k + m))
                     ids |= own
         out.append((i, len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit)))
