@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job relies on: UTC clock, ANSI arithmetic, adaptive execution with
 #: skew-join splitting, and a size-checked automatic broadcast (AQE re-checks the
@@ -69,6 +70,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new folder below the shared checkpoint folder, and read back: later steps
+    see the same rows whatever happens to executors, and read only the columns they use."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ensure_warehouse(spark: SparkSession) -> str:
     """The warehouse folder; on a cluster it must have been set, as Spark's default is a folder of
     one machine."""

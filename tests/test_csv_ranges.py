@@ -1,0 +1,105 @@
+"""CSV files cut into ranges against the standard reader over the whole text."""
+
+import csv
+import io
+import os
+import sys
+import tempfile
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quarry.sources import csv_ranges as R
+
+RAW = 'a,"b\nc",d\r\n"x ""y"" \n,\n",2\n\n , \nq"r,s"t\n"one\rtwo",3\n"a"b\n"tail, never closed\n,z\nend'
+
+
+def expected(text, n):
+    csv.field_size_limit(sys.maxsize)
+    return [tuple(r) for r in (R.fit_record(f, n) for f in csv.reader(io.StringIO(text, newline=""))) if r]
+
+
+def chunks_of(text, cuts, path="p"):
+    """Chunk rows as the reader makes them when ranges begin at the byte offsets ``cuts``."""
+    rows, at, size = [], 0, len(text.encode())
+    lines = text.split("\n")
+    if lines[-1] == "":
+        lines.pop()
+    held: dict[int, list] = {}
+    for line in lines:
+        held.setdefault(max([0] + [c for c in cuts if c <= at]), []).append(line)
+        at += len(line.encode()) + 1
+    for start, own in held.items():
+        t = "".join(x + "\n" for x in own)
+        rows.append((path, start, 0, size, len(t.encode()), *R.summary(t), t))
+    return rows
+
+
+SCHEMA = R.PLACE + ", size long, bytes long, open0 boolean, open1 boolean, closes1 boolean, text string"
+
+
+def test_every_cut_gives_the_rows_of_the_standard_reader(spark):
+    """Files cut at every byte offset, once and with a second cut a few bytes on; with and without a last line break."""
+    rows, want = [], Counter()
+    for v, text in enumerate((RAW, RAW + "\n", RAW + '"\nlast,1\n')):
+        for k in range(len(text) + 1):
+            rows += chunks_of(text, (k, k + 7), f"{v}/{k}")
+            want.update(expected(text, 2))
+    found = R.parse_chunks(spark.createDataFrame(rows, SCHEMA), ["a", "b"]).collect()
+    assert Counter(tuple(r) for r in found) == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet='a,"\n\r ', max_size=40), st.lists(st.integers(0, 40), max_size=4))
+def test_summaries_and_cuts_follow_the_whole_text(text, cuts):
+    """The driver-side composition of summaries and fragments, in plain Python."""
+    inside, parts, got, rows = False, "", [], chunks_of(text, cuts)
+    for i, (*_, open0, open1, closes1, t) in enumerate(rows):
+        t = t[:-1] if i == len(rows) - 1 and not text.endswith("\n") else t
+        head, records, tail = R.cut(t, inside) if t else (None, [], None)
+        if inside:
+            parts += head or ""
+        now = open1 if inside else open0
+        if parts and (not now or closes1):
+            got += expected(parts, 2)
+            parts = ""
+        got += [tuple(r) for r in (R.fit_record(f, 2) for f in records) if r]
+        if tail is not None:
+            parts = tail
+        inside = now
+    got += expected(parts, 2) if parts else []
+    assert Counter(got) == Counter(expected(text, 2))
+
+
+@pytest.mark.parametrize("size, chunk", [(13, 1), (40, 1 << 20), (1 << 27, 9)])
+def test_files_read_in_splits(spark, size, chunk):
+    """Several files, one with a byte order mark, one without any text, bytes that are no UTF-8."""
+    folder = tempfile.mkdtemp()
+    texts = [RAW.encode(), b"\xef\xbb\xbf" + RAW.encode() + b"\n", b"", b"\n\n", b'bad \xff byte,"x\n\xff"\n', b'"only']
+    for i, body in enumerate(texts):
+        with open(os.path.join(folder, f"f{i}.csv"), "wb") as f:
+            f.write(body)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        chunks = R.chunk_table(spark, folder, chunk)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    if size < 100:
+        assert chunks.select("path", "start").distinct().count() > len(texts)
+    found = Counter(tuple(r) for r in R.parse_chunks(chunks, ["a", "b"]).collect())
+    assert found == Counter(r for t in texts for r in expected(t.decode(errors="replace"), 2))
+
+
+def test_no_files_no_rows_and_one_very_long_record(spark):
+    folder = tempfile.mkdtemp()
+    with open(os.path.join(folder, "f.csv"), "w") as f:
+        f.write('k,"' + "line\n" * 50_000 + '",z\nnext,1\n')
+    rows = sorted((tuple(r) for r in R.read_ranges(spark, folder, ["a", "b", "c"], 1000).collect()))
+    assert rows == [("k", "line\n" * 50_000, "z"), ("next", "1", None)]
+    empty = tempfile.mkdtemp()
+    with open(os.path.join(empty, "f.csv"), "w"):
+        pass
+    assert R.read_ranges(spark, empty, ["a"]).count() == 0
