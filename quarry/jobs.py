@@ -19,6 +19,7 @@ import datetime as dt
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from quarry.functions import fixed_values as fv
 
@@ -32,8 +33,8 @@ def _spark(master: str | None) -> SparkSession:
 
 
 def land_all(spark: SparkSession, fx: str | None, indicator: str | None, mobile: str | None,
-             metric: str | None) -> int:
-    from quarry.operators.landing import land, log_failure
+             metric: str | None, buckets: int | None = None) -> int:
+    from quarry.operators.landing import BUCKETS, land, log_failure
     from quarry.sources import (assert_complete_pages, extract_html_table, flatten_paged_json, melt_wide,
                                 read_ragged_csv)
     from quarry.sources.tabular import require_nonempty
@@ -41,8 +42,10 @@ def land_all(spark: SparkSession, fx: str | None, indicator: str | None, mobile:
     def indicator_rows():
         paths = ["indicator.id", "indicator.value", "countryiso3code", "country.value", "date", "value",
                  "unit", "obs_status"]
-        docs = spark.read.text(indicator, wholetext=True)
-        assert_complete_pages(docs)
+        docs = spark.read.text(indicator, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+        # a request is known by its records' indicator, and a page without records by its file's name without page number
+        request = F.coalesce(F.get_json_object("value", "$[1][0].indicator.id"), F.regexp_replace("file", r"[0-9]+\.\w+$", ""))
+        assert_complete_pages(docs, request=request)
         return flatten_paged_json(docs, dict(zip(fv.INDICATOR_COLUMNS, paths)))
 
     def mobile_rows():
@@ -64,7 +67,7 @@ def land_all(spark: SparkSession, fx: str | None, indicator: str | None, mobile:
         if not path:
             continue
         try:
-            r = land(spark, read(), source, table)
+            r = land(spark, read(), source, table, buckets=buckets or BUCKETS)
             print(f"{source}: received {r.rows_received}, inserted {r.rows_inserted}, skipped {r.rows_skipped}")
         except Exception as exc:  # noqa: BLE001 - a failing source is logged, the others go on
             failures += 1
@@ -103,10 +106,10 @@ def feed(spark: SparkSession, out: str) -> str:
 
 def stream_fx(spark: SparkSession, folder: str, checkpoint: str) -> None:
     """Land new headerless FX files from ``folder`` (each file once; replays insert nothing)."""
-    from quarry.sources import parse_ragged_lines
+    from quarry.sources import read_ragged_csv
     from quarry.streaming import land_stream
-    land_stream(spark, folder, "value string", "cbk_fx_csv", "bronze.cbk_fx_rates", fmt="text",
-                checkpoint=checkpoint, transform=lambda b: parse_ragged_lines(b, fv.FX_COLUMNS))
+    land_stream(spark, folder, "", "cbk_fx_csv", "bronze.cbk_fx_rates", checkpoint=checkpoint,
+                read_files=lambda session, paths: read_ragged_csv(session, paths, fv.FX_COLUMNS))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -121,12 +124,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--metric")
     ap.add_argument("--as-of", type=dt.date.fromisoformat)
     ap.add_argument("--parallel", type=int, default=1)
+    ap.add_argument("--buckets", type=int, help="buckets of bronze tables that this run creates")
     ap.add_argument("--out")
     a = ap.parse_args(argv)
     spark = _spark(a.master)
     bad = 0
     if a.step in ("land", "all"):
-        bad += land_all(spark, a.fx, a.indicator, a.mobile, a.metric)
+        bad += land_all(spark, a.fx, a.indicator, a.mobile, a.metric, a.buckets)
     if a.step in ("silver", "all"):
         bad += silver(spark, a.as_of, a.parallel)
     if a.step in ("gold", "all"):

@@ -14,6 +14,7 @@ single write job: the batch is read once and the counts are exact under task ret
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 from dataclasses import dataclass
 
@@ -108,11 +109,12 @@ def landing_counts(df: DataFrame, source: str, ingested_at, target: DataFrame |
 
 def _log(spark: SparkSession, rows: list[tuple], log_table: str) -> None:
     spark.createDataFrame(rows, INGESTION_LOG_SCHEMA).write.mode("append").saveAsTable(log_table)
+    spark.catalog.refreshTable(log_table)
 
 
 def land(spark: SparkSession, df: DataFrame, source: str, table: str,
          started_at: dt.datetime | None = None, log_table: str = "meta.ingestion_log",
-         buckets: int = BUCKETS) -> LandingResult:
+         buckets: int = BUCKETS, batch_key: str | None = None) -> LandingResult:
     """Append unseen rows of ``df`` to ``table`` and record the run in the ingestion log.
 
     One job: rows are grouped by hash (copies counted), marked seen/unseen against the
@@ -120,9 +122,13 @@ def land(spark: SparkSession, df: DataFrame, source: str, table: str,
     after the last shuffle, i.e. in the result stage, where Spark applies each task's
     metric update exactly once even when tasks or executors are lost and work is redone.
     One lander per table at a time (as with any plain Parquet table there is no transaction
-    between concurrent appenders); a replayed batch inserts nothing.
+    between concurrent appenders); a replayed batch inserts nothing. A batch with a ``batch_key`` is
+    logged under it (as the detail) and not landed, or logged, again once that row is there.
     """
     started_at = started_at or utc_now()
+    done = logged_batch(spark, table, batch_key, log_table) if batch_key else None
+    if done:
+        return done
     counts = Observation("landing")
     payload = landing_payload(df, source, started_at)
     cols = payload.columns
@@ -139,26 +145,48 @@ def land(spark: SparkSession, df: DataFrame, source: str, table: str,
         marked = groups.join(seen, on=HASH, how="left")
     else:
         marked = groups.withColumn("_seen", F.lit(None).cast("boolean"))
-    # dealt out by bucket, so that a landing adds one file to a bucket; counted after this last shuffle
-    n = table_buckets(spark, table) if exists else buckets
-    observed = marked.repartition(n, HASH).observe(counts, F.coalesce(F.sum("_n"), F.lit(0)).alias("received"),
-                                                F.count_if(F.col("_seen").isNull()).alias("inserted"))
+    observed = marked.observe(counts, F.coalesce(F.sum("_n"), F.lit(0)).alias("received"),
+                              F.count_if(F.col("_seen").isNull()).alias("inserted"))
     batch = observed.filter(F.col("_seen").isNull()).select(*[F.col(f"`{c}`") for c in cols])
-    if exists:
-        batch.select(*target.columns).write.insertInto(table)
-    else:
-        # an external table at a versioned folder, so a later compaction can re-point it
-        (batch.write.format("parquet").bucketBy(buckets, HASH).sortBy(HASH)
-         .option("path", _version_path(spark, table)).saveAsTable(table))
+    # the exchange of the grouping deals rows out by bucket: it serves the join with the bucketed
+    # target and the write as well, and a landing adds one file to a bucket
+    with shuffled_into(df.sparkSession, table_buckets(spark, table) if exists else buckets):
+        if exists:
+            batch.select(*target.columns).write.insertInto(table)
+        else:
+            # an external table at a versioned folder, so a later compaction can re-point it
+            (batch.write.format("parquet").bucketBy(buckets, HASH).sortBy(HASH)
+             .option("path", _version_path(spark, table)).saveAsTable(table))
     spark.catalog.refreshTable(table)
     got = counts.get
     received, inserted = int(got.get("received") or 0), int(got.get("inserted") or 0)
     result = LandingResult(source, table, received, inserted, received - inserted)
-    _log(spark, [(source, table, started_at, received, inserted, received - inserted, "ok", None)],
+    _log(spark, [(source, table, started_at, received, inserted, received - inserted, "ok", batch_key)],
          log_table)
     return result
 
 
+def logged_batch(spark: SparkSession, table: str, batch_key: str, log_table: str = "meta.ingestion_log") -> LandingResult | None:
+    """What the log says of a batch that has been landed under ``batch_key``."""
+    if not spark.catalog.tableExists(log_table):
+        return None
+    rows = spark.table(log_table).filter((F.col("target_table") == table) & (F.col("detail") == batch_key) & (F.col("status") == "ok"))
+    r = rows.first()
+    return LandingResult(r["source"], table, r["rows_received"], r["rows_inserted"], r["rows_skipped"]) if r else None
+
+
+@contextlib.contextmanager
+def shuffled_into(spark: SparkSession, n: int):
+    """Exchanges planned inside have ``n`` partitions (the session's setting is put back)."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _version_path(spark: SparkSession, table: str) -> str:
     import time
     base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/quarry_versions/" + table.replace(".", "/")

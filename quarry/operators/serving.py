@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import as_col
@@ -40,6 +40,21 @@ def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                                for c in list(order) + [v for v in values if v not in order]])
 
 
+def latest_n_per(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, parts: int = 16) -> DataFrame:
+    """Per key, the ``n`` last rows by ``order`` with their ``rank`` from 1; give a unique last column as
+    tie-break (nulls come last; all rows of a null key are one group).
+
+    Spark plans ``row_number() <= n`` with a group limit on both sides of the exchange: a task sends at most
+    ``n`` rows of a key. The limit is taken within ``parts`` parts of every key first, so the rows of a
+    hot key never meet in one task before they are few.
+    """
+    part = F.pmod(F.xxhash64(*order), F.lit(parts))
+    last = [F.col(c).desc_nulls_last() for c in order]
+    few = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, part).orderBy(*last))).filter(F.col("_rank") <= n)
+    ranked = few.drop("_rank").withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*last)))
+    return ranked.filter(F.col("rank") <= n)
+
+
 def first_last(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
     """First and last row of each series (by ``order``) side by side."""
     aggs = [F.min(order).alias(f"first_{order}"), F.max(order).alias(f"last_{order}")]

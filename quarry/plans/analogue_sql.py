@@ -260,10 +260,10 @@ SELECT o_orderkey, indicator_id, o_orderpriority AS indicator_name, CAST(o_custk
        CAST(NULL AS VARCHAR) AS obs_status
 FROM r"""
     q["page_check"] = """
-SELECT count(*) AS documents, count(*) FILTER (WHERE o_orderkey % 10 = 3) AS error_documents,
+SELECT o_orderpriority AS request, count(*) AS documents, count(*) FILTER (WHERE o_orderkey % 10 = 3) AS error_documents,
        CAST(7 AS BIGINT) AS declared_pages,
        count(DISTINCT CASE WHEN o_orderkey % 10 <> 3 THEN CAST(o_orderkey % 7 + 1 AS VARCHAR) END) AS pages_seen
-FROM orders"""
+FROM orders GROUP BY o_orderpriority"""
     q["date_order_evidence"] = """
 WITH s AS (SELECT * FROM orders),
 r AS (
@@ -451,7 +451,7 @@ SELECT 'latest', target_table, built_at, rows_in, rows_clean, rows_quarantined F
   SELECT *, row_number() OVER (PARTITION BY target_table ORDER BY built_at DESC, event_id DESC) AS rn FROM log) WHERE rn = 1"""
     q["feed_document"] = "WITH " + MONTHLY_VALUE + """,
 latest AS (SELECT event_id, round(value, 4) AS value FROM events ORDER BY ts DESC, event_id DESC LIMIT 1),
-types AS (SELECT count(DISTINCT event_type) AS n FROM events WHERE event_type IN ('click', 'error', 'purchase', 'signup', 'view')),
+types AS (SELECT count(DISTINCT event_type) AS n FROM events),
 purchase AS (SELECT CAST(max(ts) AS VARCHAR) AS as_of FROM events WHERE event_type = 'purchase'),
 trend AS (SELECT * FROM monthly ORDER BY month_start DESC LIMIT 12)
 SELECT 1 AS schema_version, (SELECT event_id FROM latest) AS latest_event_id, (SELECT value FROM latest) AS latest_value,

@@ -69,6 +69,12 @@ def iso(c) -> Column:
     return F.date_format(F.col(c), "yyyy-MM-dd")
 
 
+def listed(c: str, values: list[str]) -> Column:
+    """A column whose values must be among ``values``: any other one, or null, fails the query."""
+    return F.when(F.col(c).isin(values), F.col(c)).otherwise(
+        F.raise_error(F.concat(F.lit(f"{c}: unlisted value "), F.coalesce(F.col(c), F.lit("null")))))
+
+
 # ---------------------------------------------------------------------------------------
 # landing
 
@@ -161,8 +167,9 @@ def json_array_explode(spark, d):
 
 
 def page_check(spark, d):
-    """Page-envelope summary of the paged order documents."""
-    return page_summary(paged_documents(spark, d))
+    """Page-envelope summary of the paged order documents, those of a priority as one request."""
+    docs = paged_documents(spark, d).join(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), "o_orderkey")
+    return page_summary(docs, request=F.col("o_orderpriority"))
 
 
 def date_order_evidence(spark, d):
@@ -207,7 +214,7 @@ def melt_wide_q(spark, d):
     """Quarterly order counts per segment as a wide sheet with blank cells, melted back to long rows."""
     o = table(spark, d, "orders")
     c = table(spark, d, "customer")
-    j = o.join(c, o.o_custkey == c.c_custkey)
+    j = o.join(c, o.o_custkey == c.c_custkey).withColumn("c_mktsegment", listed("c_mktsegment", SEGMENTS))
     quarter = F.date_format(F.trunc("o_orderdate", "quarter"), "dd/MM/yyyy").alias("period_raw")
     wide = (j.groupBy(quarter, "o_orderstatus").pivot("c_mktsegment", SEGMENTS).agg(F.count(F.lit(1))))
     # the exported sheet: counts as text, some cells blank
@@ -614,14 +621,8 @@ def convert_monthly_exact(spark, d) -> DataFrame:
 
 def convert_monthly(spark, d):
     """Monthly order value converted at that month's mean unit price."""
-    li = table(spark, d, "lineitem")
-    rate = sv.period_mean(li.select(F.trunc("l_shipdate", "month").alias("month_start"),
-                                    F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price")),
-                          "month_start", "unit_price", "unit_rate")
-    value = monthly_order_value(spark, d).withColumnRenamed("month_start", "month")
-    j = value.join(rate, value.month == rate.month_start)
-    return j.select("month", F.round("value", 2).alias("value"), F.round("unit_rate", 6).alias("unit_rate"),
-                    F.round(F.try_divide(F.col("value"), F.col("unit_rate")), 6).alias("converted"))
+    return convert_monthly_exact(spark, d).select("month", F.round("value", 2).alias("value"), F.round("unit_rate", 6).alias("unit_rate"),
+                                                  F.round("converted", 6).alias("converted"))
 
 
 def run_rate(spark, d):
@@ -641,6 +642,7 @@ def pivot_series_q(spark, d):
     n = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     r = table(spark, d, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     j = sv.join_dim(sv.join_dim(o.join(c, o.o_custkey == c.c_custkey), n, "c_nationkey"), r, "n_regionkey")
+    j = j.withColumn("r_name", listed("r_name", REGIONS))
     p = sv.pivot_series(j.withColumn("year", F.year("o_orderdate")), "year", "r_name", F.count(F.lit(1)), REGIONS)
     return p.select("year", *[F.coalesce(F.col(f"`{x}`"), F.lit(0)).cast("long").alias(x) for x in REGIONS])
 
@@ -686,7 +688,7 @@ def feed_document(spark, d):
     ev = table(spark, d, "events")
     latest = sv.latest(ev.select("event_id", "ts", "value"), ["ts", "event_id"]).select(
         F.struct("event_id", F.round("value", 4).alias("value"), F.col("ts").cast("string").alias("as_of")).alias("latest"))
-    per_type = sv.latest_per(ev.filter(F.col("event_type").isin(EVENT_TYPES)), ["event_type"], ["ts", "event_id"], ["value"])
+    per_type = sv.latest_per(ev.withColumn("event_type", listed("event_type", EVENT_TYPES)), ["event_type"], ["ts", "event_id"], ["value"])
     by_type = per_type.agg(F.map_from_entries(F.collect_list(F.struct(
         "event_type", F.struct(F.round("value", 4).alias("value"), F.col("ts").cast("string").alias("as_of"))))).alias("by_type"))
     trend = sv.last_n(monthly_order_value(spark, d), ["month_start"], 12).agg(F.sort_array(F.collect_list(F.struct(

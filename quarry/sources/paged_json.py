@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,16 +52,20 @@ def read_paged_json(spark: SparkSession, path: str, fields: Mapping[str, str]) -
     return flatten_paged_json(docs, fields)
 
 
-def page_summary(docs: DataFrame, doc_col: str = "value") -> DataFrame:
-    """One row: documents, error envelopes, declared page count and distinct pages seen.
+def page_summary(docs: DataFrame, doc_col: str = "value", request: Column | None = None) -> DataFrame:
+    """Per request: documents, error envelopes, declared page count and distinct pages seen.
 
+    ``request`` tells which documents answer the same request (null is one more request); pages are counted
+    within each, so that page 2 of one cannot stand for a missing page 2 of another. Without it all
+    documents belong to one request, and the result is one row without a ``request`` column.
     The page metadata is parsed once per document into a struct.
     """
     meta = F.from_json(F.get_json_object(F.col(doc_col), "$[0]"),
                        "page string, pages string, message string")
     is_error = (meta.isNull() | meta["message"].isNotNull()
                 | F.get_json_object(F.col(doc_col), "$.message").isNotNull())
-    return docs.select(meta.alias("_m"), is_error.alias("_err")).agg(
+    keys = [request.alias("request")] if request is not None else []
+    return docs.select(*keys, meta.alias("_m"), is_error.alias("_err")).groupBy(*["request"][:len(keys)]).agg(
         F.count(F.lit(1)).alias("documents"),
         F.count_if("_err").alias("error_documents"),
         F.max(F.col("_m.pages").try_cast("long")).alias("declared_pages"),
@@ -69,11 +73,19 @@ def page_summary(docs: DataFrame, doc_col: str = "value") -> DataFrame:
     )
 
 
-def assert_complete_pages(docs: DataFrame, doc_col: str = "value") -> dict:
-    """Fail when any response is an error envelope or pages are missing."""
-    row = page_summary(docs, doc_col).first()
+def assert_complete_pages(docs: DataFrame, doc_col: str = "value", request: Column | None = None) -> dict:
+    """Fail when any response is an error envelope or pages of a request are missing; else the totals."""
+    rows = page_summary(docs, doc_col, request)
+    complete = F.col("declared_pages").isNull() | (F.col("declared_pages") == F.col("pages_seen"))
+    names = F.slice(F.sort_array(F.collect_list(F.when(~complete, F.concat_ws(
+        " ", F.coalesce(F.col("request").cast("string"), F.lit("(none)")) if request is not None else F.lit("all"),
+        F.concat("pages_seen", F.lit(" of "), "declared_pages"))))), 1, 10)
+    row = rows.agg(F.coalesce(F.sum("documents"), F.lit(0)).alias("documents"),
+                   F.coalesce(F.sum("error_documents"), F.lit(0)).alias("error_documents"),
+                   F.sum("declared_pages").alias("declared_pages"), F.coalesce(F.sum("pages_seen"), F.lit(0)).alias("pages_seen"),
+                   F.count_if(~complete).alias("incomplete"), names.alias("missing")).first()
     if row["error_documents"]:
         raise ValueError(f"{row['error_documents']} error response(s) among {row['documents']}")
-    if row["declared_pages"] is not None and row["declared_pages"] != row["pages_seen"]:
-        raise ValueError(f"expected {row['declared_pages']} pages, saw {row['pages_seen']}")
-    return row.asDict()
+    if row["incomplete"]:
+        raise ValueError(f"pages are missing of {row['incomplete']} request(s), such as {list(row['missing'])}")
+    return {k: row[k] for k in ("documents", "error_documents", "declared_pages", "pages_seen")}

@@ -7,9 +7,9 @@ short records are padded with null; surplus fields are joined with commas into t
 fields are otherwise kept exactly as received. Exact duplicate records are kept.
 
 Spark's CSV reader cannot express this: with an n-column schema it drops surplus fields and it
-turns empty fields into null. Each input row (a line, or the whole text of a file when records
-may span lines) is therefore read by the standard reader, one linear pass without recursion, in
-an Arrow map that Spark spreads over the input's partitions.
+turns empty fields into null. Texts are therefore read by the standard reader, one linear pass
+without recursion, in an Arrow map that Spark spreads over the input's partitions; files are
+cut into ranges first (:mod:`quarry.sources.csv_ranges`), so that a large file is read by many tasks.
 """
 
 from __future__ import annotations
@@ -25,20 +25,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.sources.csv_ranges import BATCH_RECORDS, CHUNK_BYTES, fit_record, read_ranges
+
 # worker code is shipped by value: executors need nothing installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Records handed on at a time.
-BATCH_RECORDS = 4096
-
 
 def ragged_records(text: str, n: int):
     """The records of a text as ``n`` fields each, blank ones skipped."""
-    for record in csv.reader(io.StringIO(text, newline="")):
-        if any(f.strip() for f in record):
-            if len(record) > n:
-                record = [*record[:n - 1], ",".join(record[n - 1:])]
-            yield record + [None] * (n - len(record))
+    for fields in csv.reader(io.StringIO(text, newline="")):
+        record = fit_record(fields, n)
+        if record:
+            yield record
 
 
 def parse_ragged_lines(lines: DataFrame, columns: Sequence[str], line_col: str = "value",
@@ -72,10 +70,13 @@ def parse_ragged_lines(lines: DataFrame, columns: Sequence[str], line_col: str =
     return kept.mapInArrow(parse, schema)
 
 
-def read_ragged_csv(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True) -> DataFrame:
-    """Read headerless CSV file(s) at ``path`` into the positional ``columns``.
+def read_ragged_csv(spark: SparkSession, path, columns: Sequence[str], multi_line: bool = True,
+                    chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Read headerless CSV file(s) at ``path`` (a path or a list) into the positional ``columns``.
 
-    With ``multi_line`` a file is one input row, so that a quoted field may hold line breaks; files
-    too large for that, whose records are lines, are read with ``multi_line=False`` and split.
+    A quoted field may hold line breaks. Where it is known that none does, ``multi_line=False`` reads line
+    by line and saves writing the chunks (an unclosed quote then ends with its line).
     """
-    return parse_ragged_lines(spark.read.text(path, wholetext=multi_line), columns)
+    if multi_line:
+        return read_ranges(spark, path, columns, chunk_bytes)
+    return parse_ragged_lines(spark.read.text(path), columns)

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators.landing import land, landing_counts, log_failure
 
@@ -104,3 +105,42 @@ def test_compaction_refuses_a_table_that_is_not_bucketed(spark, fresh_db):
     frame(spark, [("1", "x")]).write.saveAsTable(t)
     with pytest.raises(ValueError):
         compact_bronze(spark, t)
+
+
+def test_one_exchange_serves_grouping_join_and_write(spark, fresh_db, monkeypatch):
+    """Full rows are shuffled once, into as many partitions as the table has buckets."""
+    t, log = f"{fresh_db['bronze']}.once", f"{fresh_db['meta']}.ingestion_log"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    land(spark, frame(spark, [(str(i), "x") for i in range(50)]), "s", t, log_table=log, buckets=12)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    from quarry.operators import landing
+    plans = []
+
+    class Watched:
+        def __init__(self, spark, n):
+            self.inner = landing_shuffled(spark, n)
+
+        def __enter__(self):
+            self.inner.__enter__()
+            payload = landing.landing_payload(frame(spark, [("1", "x")]), "s", dt.datetime(2026, 1, 2))
+            groups = payload.groupBy(landing.HASH).agg(*[F.first(c).alias(c) for c in payload.columns if c != landing.HASH])
+            seen = spark.table(t).select(landing.HASH, F.lit(True).alias("_seen"))
+            plans.append(groups.join(seen, landing.HASH, "left")._jdf.queryExecution().executedPlan().toString())
+
+        def __exit__(self, *a):
+            return self.inner.__exit__(*a)
+
+    landing_shuffled = landing.shuffled_into
+    monkeypatch.setattr(landing, "shuffled_into", Watched)
+    assert land(spark, frame(spark, [("1", "x"), ("new", "y")]), "s", t, log_table=log).rows_inserted == 1
+    assert plans[0].count("Exchange hashpartitioning") == 1 and ", 12)" in plans[0].split("Exchange hashpartitioning")[1]
+
+
+def test_a_batch_with_a_key_lands_and_logs_once(spark, fresh_db):
+    t, log = f"{fresh_db['bronze']}.keyed", f"{fresh_db['meta']}.ingestion_log"
+    rows = frame(spark, [("1", "x"), ("1", "x"), ("2", "y")])
+    first = land(spark, rows, "s", t, log_table=log, batch_key="k")
+    again = land(spark, rows, "s", t, log_table=log, batch_key="k")
+    assert first == again and (first.rows_received, first.rows_inserted) == (3, 2)
+    assert spark.table(log).count() == 1
+    assert land(spark, rows, "s", t, log_table=log, batch_key="other").rows_inserted == 0 and spark.table(log).count() == 2

@@ -98,3 +98,17 @@ def test_seed_reads_empty_as_null(spark):
                     "currency_code string, currency_name string, country_iso3 string").collect()
     assert len(cur) == 22
     assert {r["currency_code"]: r["country_iso3"] for r in cur}["USD"] is None
+
+
+def test_pages_are_counted_for_each_request(spark):
+    """Page 2 of one request does not stand for a missing page 2 of the other."""
+    from pyspark.sql import functions as F
+    def doc(code, page, pages):
+        return json.dumps([{"page": page, "pages": pages}, [{"indicator": {"id": code}}]])
+    request = F.get_json_object("value", "$[1][0].indicator.id")
+    docs = [doc("a", 1, 2), doc("b", 1, 2), doc("b", 2, 2)]
+    assert assert_complete_pages(lines(spark, docs))["pages_seen"] == 2
+    with pytest.raises(ValueError, match="a 1 of 2"):
+        assert_complete_pages(lines(spark, docs), request=request)
+    assert assert_complete_pages(lines(spark, [*docs, doc("a", 2, 2)]), request=request)["pages_seen"] == 4
+    assert assert_complete_pages(lines(spark, []), request=request)["documents"] == 0
