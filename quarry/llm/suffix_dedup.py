@@ -16,8 +16,9 @@ repeats. All strings through a trigger overlap, so what repeats of a phrase is o
 
 Combination. Each phrase's run goes back to the parse, the runs of a document are merged, and the
 rest is hashed. Texts are dealt out twice (dictionary, removal); everything else is narrow. A
-trigger with more than ``GROUP`` distinct phrases is not gathered: its fingerprints are counted by
-a shuffle instead, which gives the same runs.
+trigger with more than ``GROUP`` distinct phrases is not gathered: its phrases are grouped by the bytes
+before and by the bytes behind it, and where that leaves as many, their fingerprints are counted by a
+shuffle. All three give the same runs.
 
 Fingerprints are 64 bits wide and compared within a trigger only. Phrases are hashed by BLAKE2; strings by
 doubling with a scrambling step at each level, in which structured text cannot cancel as it
@@ -45,6 +46,8 @@ REACH = LENGTH - GRAM
 SEGMENT = 1 << 19
 #: Distinct phrases of one trigger that are compared in memory, at most.
 GROUP = 16_384
+#: Of a string's bytes besides the trigger's, half lie on one side of it.
+SIDE = REACH // 2
 #: Phrases compared in one step.
 STEP = 2048
 
@@ -302,6 +305,17 @@ def _runs_by_shuffle(dictionary: DataFrame) -> DataFrame:
     return part.unionAll(whole).groupBy("trigger", "phrase").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
+def _by_sides(dictionary: DataFrame) -> DataFrame:
+    """Phrases of crowded triggers, each under two narrower ones: every LENGTH-byte string through a trigger
+    holds the SIDE bytes before it or the SIDE bytes behind it, so equal strings meet under one of them."""
+    before = F.when(F.col("before") >= SIDE, F.substring("bytes", F.col("before") - SIDE + 1, F.lit(SIDE)))
+    behind = F.when(F.col("after") - GRAM >= SIDE, F.substring("bytes", F.col("before") + GRAM + 1, F.lit(SIDE)))
+    keys = F.array(F.when(before.isNotNull(), F.xxhash64("trigger", F.lit(0), before)),
+                   F.when(behind.isNotNull(), F.xxhash64("trigger", F.lit(1), behind)))
+    return dictionary.withColumn("key", F.explode(F.array_compact(keys))) \
+        .select(F.col("key").alias("trigger"), "phrase", "n", "before", "after", "bytes")
+
+
 def repeated_ranges(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """(d, th, ranges) for every text with repeated bytes: [start, end) pairs, not yet merged."""
     parsed = materialize(parse_documents(docs), "pfp-parse")
@@ -313,13 +327,17 @@ def repeated_ranges(docs: DataFrame, group: int = GROUP) -> DataFrame:
                           .select("trigger", "phrase", "n", "one.*"), "pfp-phrases")
     large = phrases.groupBy("trigger").count().where(F.col("count") > group).select("trigger")
     dictionary = materialize(_dictionary(docs, phrases), "pfp-dictionary")
-    few = dictionary.join(large, "trigger", "left_anti")
-    runs = _runs(few)
+    runs = _runs(dictionary.join(large, "trigger", "left_anti"))
     if not large.isEmpty():
-        runs = runs.unionAll(_runs_by_shuffle(dictionary.join(large, "trigger", "left_semi")))
-    runs = materialize(runs, "pfp-runs")
-    some = shared.where("mixed").join(runs, ["trigger", "phrase"]).select("d", "th", (F.col("pos") + F.col("low")).alias("s"),
-                                                                         (F.col("pos") + F.col("high")).alias("e"))
+        sides = materialize(_by_sides(dictionary.join(large, "trigger", "left_semi")), "pfp-sides")
+        crowded = sides.select("trigger", "phrase").distinct().groupBy("trigger").count().where(F.col("count") > group).select("trigger")
+        runs = runs.unionAll(_runs(sides.join(crowded, "trigger", "left_anti")))
+        if not crowded.isEmpty():
+            runs = runs.unionAll(_runs_by_shuffle(sides.join(crowded, "trigger", "left_semi")))
+    # a phrase holds its trigger's bytes, so the phrase alone names its run
+    runs = materialize(runs.groupBy("phrase").agg(F.min("low").alias("low"), F.max("high").alias("high")), "pfp-runs")
+    some = shared.where("mixed").join(runs, "phrase").select("d", "th", (F.col("pos") + F.col("low")).alias("s"),
+                                                             (F.col("pos") + F.col("high")).alias("e"))
     whole = shared.where(f"not mixed and before + after >= {LENGTH}").select(
         "d", "th", (F.col("pos") - F.col("before")).alias("s"), (F.col("pos") + F.col("after")).alias("e"))
     return some.unionAll(whole).groupBy("d", "th").agg(F.collect_set(F.struct("s", "e")).alias("ranges"))
