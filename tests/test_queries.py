@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from quarry.plans import analogue_sql, analogues, lifecycle
+from quarry.plans import analogue_sql, analogues, lifecycle, published
 from tools.check_oracle import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -20,10 +20,11 @@ def con():
 
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
     assert set(analogues.QUERIES) == set(analogue_sql.oracle()) and set(lifecycle.QUERIES) == set(lifecycle.oracle())
-    assert set(analogues.QUERIES) | set(lifecycle.QUERIES) <= set(E.queries())
+    assert set(published.QUERIES) == set(published.oracle())
+    assert set(analogues.QUERIES) | set(lifecycle.QUERIES) | set(published.QUERIES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(analogue_sql.oracle() | lifecycle.oracle()))
+@pytest.mark.parametrize("name", sorted(analogue_sql.oracle() | lifecycle.oracle() | published.oracle()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
