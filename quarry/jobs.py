@@ -33,7 +33,7 @@ def _spark(master: str | None) -> SparkSession:
 
 
 def land_all(spark: SparkSession, fx: str | None, indicator: str | None, mobile: str | None,
-             metric: str | None, buckets: int | None = None) -> int:
+             metric: str | None, buckets: int | None = None, indexed: bool = False) -> int:
     from quarry.operators.landing import BUCKETS, land, log_failure
     from quarry.sources import (assert_complete_pages, extract_html_table, flatten_paged_json, melt_wide,
                                 read_ragged_csv)
@@ -67,7 +67,7 @@ def land_all(spark: SparkSession, fx: str | None, indicator: str | None, mobile:
         if not path:
             continue
         try:
-            r = land(spark, read(), source, table, buckets=buckets or BUCKETS)
+            r = land(spark, read(), source, table, buckets=buckets or BUCKETS, indexed=indexed)
             print(f"{source}: received {r.rows_received}, inserted {r.rows_inserted}, skipped {r.rows_skipped}")
         except Exception as exc:  # noqa: BLE001 - a failing source is logged, the others go on
             failures += 1
@@ -124,13 +124,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--metric")
     ap.add_argument("--as-of", type=dt.date.fromisoformat)
     ap.add_argument("--parallel", type=int, default=1)
+    ap.add_argument("--indexed", action="store_true", help="keep an index of row hashes beside the bronze tables")
     ap.add_argument("--buckets", type=int, help="buckets of bronze tables that this run creates")
     ap.add_argument("--out")
     a = ap.parse_args(argv)
     spark = _spark(a.master)
     bad = 0
     if a.step in ("land", "all"):
-        bad += land_all(spark, a.fx, a.indicator, a.mobile, a.metric, a.buckets)
+        bad += land_all(spark, a.fx, a.indicator, a.mobile, a.metric, a.buckets, a.indexed)
     if a.step in ("silver", "all"):
         bad += silver(spark, a.as_of, a.parallel)
     if a.step in ("gold", "all"):

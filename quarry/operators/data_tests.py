@@ -65,7 +65,7 @@ def accepted_range(model, col, min_value=None, max_value=None, inclusive=True, l
                     inclusive=inclusive, label=label)
 
 
-def _row_failure(t: DataTest) -> Column:
+def row_failure(t: DataTest) -> Column:
     c = F.col(t.columns[0])
     if t.kind == "not_null":
         return c.isNull()
@@ -89,7 +89,7 @@ def run_data_tests(models: Mapping[str, DataFrame], tests: Sequence[DataTest]) -
         if t.kind in ("not_null", "accepted_range"):
             row_level.setdefault(t.model, []).append(t)
     for model, ts in row_level.items():
-        counts = models[model].agg(*[F.count_if(_row_failure(t)).alias(f"c{i}") for i, t in enumerate(ts)])
+        counts = models[model].agg(*[F.count_if(row_failure(t)).alias(f"c{i}") for i, t in enumerate(ts)])
         stacked = F.explode(F.array(*[F.struct(F.lit(t.name).alias("test_name"),
                                                F.col(f"c{i}").cast("long").alias("failures"))
                                       for i, t in enumerate(ts)]))

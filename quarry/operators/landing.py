@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.scalar import row_hash
+from quarry.operators.hash_index import seen_hashes
+from quarry.session import scratch_table
 
 HASH = "_source_row_hash"
 META_COLUMNS = ["_source", "_ingested_at", HASH]
@@ -114,7 +116,7 @@ def _log(spark: SparkSession, rows: list[tuple], log_table: str) -> None:
 
 def land(spark: SparkSession, df: DataFrame, source: str, table: str,
          started_at: dt.datetime | None = None, log_table: str = "meta.ingestion_log",
-         buckets: int = BUCKETS, batch_key: str | None = None) -> LandingResult:
+         buckets: int = BUCKETS, batch_key: str | None = None, indexed: bool = False) -> LandingResult:
     """Append unseen rows of ``df`` to ``table`` and record the run in the ingestion log.
 
     One job: rows are grouped by hash (copies counted), marked seen/unseen against the
@@ -124,6 +126,10 @@ def land(spark: SparkSession, df: DataFrame, source: str, table: str,
     One lander per table at a time (as with any plain Parquet table there is no transaction
     between concurrent appenders); a replayed batch inserts nothing. A batch with a ``batch_key`` is
     logged under it (as the detail) and not landed, or logged, again once that row is there.
+
+    With ``indexed`` the target's hashes are not read through: an index beside the table tells which
+    files may hold a hash of the batch (:mod:`quarry.operators.hash_index`), so that a small batch into a
+    very large table reads little of it. The result is the same.
     """
     started_at = started_at or utc_now()
     done = logged_batch(spark, table, batch_key, log_table) if batch_key else None
@@ -133,6 +139,8 @@ def land(spark: SparkSession, df: DataFrame, source: str, table: str,
     payload = landing_payload(df, source, started_at)
     cols = payload.columns
     exists = spark.catalog.tableExists(table)
+    if indexed:
+        payload = scratch_table(payload, "landing-batch")       # read twice: its hashes, then its rows
     if exists:
         target = spark.table(table)
         expected = [c for c in target.columns if c not in META_COLUMNS]
@@ -141,8 +149,11 @@ def land(spark: SparkSession, df: DataFrame, source: str, table: str,
     groups = payload.groupBy(HASH).agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in cols if c != HASH],
                                        F.count(F.lit(1)).alias("_n"))
     if exists:
-        seen = target.select(HASH, F.lit(True).alias("_seen"))
-        marked = groups.join(seen, on=HASH, how="left")
+        if indexed:
+            held = seen_hashes(spark, table, payload.select(HASH).distinct(), table_buckets(spark, table))
+        else:
+            held = target.select(HASH)
+        marked = groups.join(held.select(HASH, F.lit(True).alias("_seen")), on=HASH, how="left")
     else:
         marked = groups.withColumn("_seen", F.lit(None).cast("boolean"))
     observed = marked.observe(counts, F.coalesce(F.sum("_n"), F.lit(0)).alias("received"),

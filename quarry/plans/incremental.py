@@ -107,6 +107,22 @@ def quarantine_now(spark: SparkSession, sdef: SourceDef, runs_table: str = "meta
     return to_quarantine(rows, sdef.source, sdef.silver_table, F.col("_built_at"))
 
 
+def last_changes(spark: SparkSession, sdef: SourceDef, runs_table: str = "meta.silver_runs") -> tuple[str, DataFrame | None]:
+    """What the last committed run changed in silver: its key, and the clean rows of the parts it wrote with
+    ``_sign`` +1 beside those they held before with -1 (None if nothing is committed). After a rebuild
+    all rows come as new, under a key that says so: summaries of earlier changes do not hold any more."""
+    runs = committed(spark, sdef.silver_table, runs_table)
+    if not runs:
+        return "", None
+    last, before = runs[-1], current_parts(runs[:-1])
+    sides = [({w["part"]: last["run_id"] for w in last["written"] if w["rows_in"]}, 1),
+             ({w["part"]: before[w["part"]][0] for w in last["written"] if w["part"] in before}, -1)]
+    found = [rows.filter(F.col(STATUS) == CLEAN).withColumn("_sign", F.lit(sign))
+             for where, sign in sides if (rows := read_parts(spark, sdef.silver_table, where)) is not None]
+    changed = found[0] if len(found) == 1 else found[0].unionByName(found[1]) if found else None
+    return f"{'rebuild' if last['reset'] else 'run'} {last['run_id']}", changed
+
+
 def accounting_now(spark: SparkSession, sdef: SourceDef, runs_table: str = "meta.silver_runs") -> dict:
     """rows_in, rows_clean, rows_quarantined, rows_deduped of the committed state, from the log alone."""
     parts = current_parts(committed(spark, sdef.silver_table, runs_table))
