@@ -47,9 +47,13 @@ def flatten_paged_json(docs: DataFrame, fields: Mapping[str, str], doc_col: str
                                     for c, path in fields.items()])
 
 
-def read_paged_json(spark: SparkSession, path: str, fields: Mapping[str, str]) -> DataFrame:
-    docs = spark.read.text(path, wholetext=True)
-    return flatten_paged_json(docs, fields)
+def read_paged_json(spark: SparkSession, path: str, fields: Mapping[str, str], large: bool = False) -> DataFrame:
+    """The records of one document a file. A ``large`` document is cut into records by many tasks
+    (:mod:`quarry.sources.json_ranges`); else each is one row, read by one task."""
+    if large:
+        from quarry.sources.json_ranges import read_paged_ranges
+        return read_paged_ranges(spark, path, fields)
+    return flatten_paged_json(spark.read.text(path, wholetext=True), fields)
 
 
 def page_summary(docs: DataFrame, doc_col: str = "value", request: Column | None = None) -> DataFrame:
