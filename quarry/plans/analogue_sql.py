@@ -291,9 +291,12 @@ UNION ALL
 SELECT p_partkey, NULL, NULL, NULL, NULL, NULL, 'table headers changed: [''Key'', ''Label'', ''Brand'', ''Size'']'
 FROM part WHERE p_partkey % 31 = 0"""
     q["html_page_scan"] = """
-SELECT page_id, CAST(NULL AS INTEGER) AS row_number, CAST(NULL AS VARCHAR) AS key_raw, CAST(NULL AS VARCHAR) AS name_raw,
-       CAST(NULL AS VARCHAR) AS brand_raw, CAST(NULL AS VARCHAR) AS size_raw, 'table#parts not found' AS error
-FROM pages WHERE html NOT ILIKE '%<table%'"""
+WITH p AS (SELECT *, page_id % 3 <> 0 AND html LIKE '%<footer>%' AS has FROM pages)
+SELECT page_id, CAST(i AS INTEGER) AS row_number, CAST(page_id AS VARCHAR) AS key_raw, 'page of A&B' AS name_raw,
+       CAST(length(url) AS VARCHAR) AS brand_raw, '<' || CAST(page_id AS VARCHAR) || '>' AS size_raw, CAST(NULL AS VARCHAR) AS error
+FROM p, unnest(range(1, 1 + page_id % 3)) AS t(i) WHERE has AND page_id % 10 <> 0
+UNION ALL SELECT page_id, NULL, NULL, NULL, NULL, NULL, CASE WHEN has THEN 'table headers changed: [''Key'', ''Title'', ''Brand'', ''Size'']'
+       ELSE 'table#parts not found' END FROM p WHERE NOT has OR page_id % 10 = 0"""
     q["melt_wide"] = """
 SELECT strftime(date_trunc('quarter', o_orderdate), '%d/%m/%Y') AS period_raw, o_orderstatus,
        c_mktsegment AS segment, CAST(count(*) AS VARCHAR) AS value_raw

@@ -203,11 +203,17 @@ def html_rows(spark, d):
 
 
 def html_page_scan(spark, d):
-    """The extractor over the supplied raw web pages (whole documents); pages without the
-    wanted table are reported, not dropped."""
-    pages = table(spark, d, "pages").select("page_id", "html")
-    return extract_html_table(pages, "html", "parts", HTML_HEADERS, HTML_COLUMNS, id_col="page_id",
-                              on_error="quarantine")
+    """The extractor over the supplied raw web pages (whole documents), two of three with a table put before the
+    footer; pages without the wanted table or with other headers are reported, not dropped."""
+    p = F.col("page_id")
+    row = F.concat(F.lit("<tr><td> "), p.cast("string"), F.lit(" </td><td>page <i>of</i> A&amp;B</td><td>"),
+                   F.length("url").cast("string"), F.lit("</td><td>\n&lt;"), p.cast("string"), F.lit("&gt;</td></tr>"))
+    head = F.concat(F.lit('<table id="parts"><thead><tr><th>Key</th><th>'), F.when(p % 10 == 0, F.lit("Title")).otherwise(F.lit("Name")),
+                    F.lit("</th><th>Brand</th><th>Size</th></tr></thead><tbody>"))
+    tables = F.concat(head, row, F.when(p % 3 == 2, row).otherwise(F.lit("")), F.lit("</tbody></table><footer>"))
+    html = F.when(p % 3 != 0, F.replace(F.col("html"), F.lit("<footer>"), tables)).otherwise(F.col("html"))
+    return extract_html_table(table(spark, d, "pages").select("page_id", html.alias("html")), "html", "parts", HTML_HEADERS,
+                              HTML_COLUMNS, id_col="page_id", on_error="quarantine")
 
 
 def melt_wide_q(spark, d):
