@@ -48,6 +48,11 @@ def strip(c) -> Column:
     return F.btrim(as_col(c), F.lit(WHITESPACE))
 
 
+def truncate(c, n: int) -> Column:
+    """The first ``n`` characters (code points); null stays null."""
+    return F.substring(as_col(c), 1, n)
+
+
 def drop_commas(c) -> Column:
     return F.replace(as_col(c), F.lit(","), F.lit(""))
 

@@ -338,7 +338,7 @@ SELECT reasons, _source_row_hash, l_quantity_raw AS payload_quantity, l_shipdate
 FROM li_validated WHERE reasons IS NOT NULL"""
     q["quarantine_by_reason"] = li + "SELECT reasons, count(*) AS n FROM li_classified WHERE status <> 'clean' GROUP BY 1"
     q["quarantine_sample"] = li + """
-SELECT 'lineitem' AS source, reasons, _source_row_hash FROM li_classified WHERE status <> 'clean'
+SELECT 'lineitem' AS source, reasons, _source_row_hash, substr(reasons, 1, 24) AS reasons_start FROM li_classified WHERE status <> 'clean'
 ORDER BY reasons, source, _source_row_hash LIMIT 6"""
     q["conflict_quarantine"] = li + """
 SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate, _source_row_hash, reasons

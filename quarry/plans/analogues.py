@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import (date_key, invert_quote, month_number, month_start,
-                                     parse_date, row_hash, to_long, to_number)
+                                     parse_date, row_hash, to_long, to_number, truncate)
 from quarry.functions import fixed_values as fv
 from quarry.operators import serving as sv
 from quarry.operators.checks import Check, ColumnSpec, RowCheck, TableSpec, split, validate
@@ -378,7 +378,8 @@ def quarantine_by_reason(spark, d):
 def quarantine_sample(spark, d):
     """The first six quarantined rows by reason, source and hash."""
     q = quarantine_rows(lineitem_classified(spark, d), "lineitem", "silver.lineitem", INGESTED_SECOND)
-    return q.orderBy("reasons", "source", "_source_row_hash").limit(6).select("source", "reasons", "_source_row_hash")
+    return q.orderBy("reasons", "source", "_source_row_hash").limit(6).select(
+        "source", "reasons", "_source_row_hash", truncate("reasons", 24).alias("reasons_start"))
 
 
 def conflict_quarantine(spark, d):

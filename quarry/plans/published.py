@@ -137,7 +137,20 @@ def published_feed(spark, d):
     return combine_rows([doc, *counts])
 
 
+def published_series(spark, d):
+    """The series behind the published charts: ownership by country and year, accounts against agents by month."""
+    at = {s.source: silver.silver_rows(silver.classify(new_rows(RAW[s.source](spark, d), s.source, INGESTED_FIRST), s, AS_OF))
+          for s in silver.SOURCES}
+    g = gold.build_gold(spark, *[at[s.source] for s in (silver.FX, silver.MOBILE, silver.INDICATOR, silver.METRIC)])
+    own = serve.ownership_series(g["fact_worldbank_indicator"], g["dim_country"])
+    months = serve.saturation_series(g["fact_mobile_money"], g["dim_date"])
+    none = F.lit(None).cast("double")
+    return own.select(F.col("country_name").alias("series"), F.col("year").cast("string").alias("period"), "value", none.alias("agents_thousands")) \
+        .unionAll(months.select(F.lit("accounts"), F.col("month").cast("string"), "registered_accounts_millions", "active_agents_thousands"))
+
+
 QUERIES = {
+    "published_series": published_series,
     "published_rates": published_rates,
     "published_indicators": published_indicators,
     "published_payments": published_payments,
@@ -236,6 +249,12 @@ def oracle() -> dict[str, str]:
         ("published_rates", "fx"), ("published_indicators", "ind"), ("published_payments", "mob"), ("published_metrics", "met"))}
     clean = {p: f"(SELECT * FROM {p}_rows WHERE status = 'clean')" for p in c}
     regional = _listing(fv.REGIONAL_CURRENCIES)
+    names = ", ".join("('" + "', '".join(r.split(",")[:2]) + "')" for r in _seed("country_ref"))
+    q["published_series"] = f"""WITH {c['ind']}, {c['mob']},
+names(country_iso3, country_name) AS (VALUES {names})
+SELECT country_name AS series, CAST(year AS VARCHAR) AS period, value, CAST(NULL AS DOUBLE) AS agents_thousands
+FROM {clean['ind']} JOIN names USING (country_iso3) WHERE indicator_code = '{fv.OWNERSHIP_INDICATOR}'
+UNION ALL SELECT 'accounts', CAST(period_month AS VARCHAR), registered_accounts_millions, active_agents / 1000.0 FROM {clean['mob']}"""
     q["published_feed"] = "WITH " + ",".join(c.values()) + f""",
 days AS (SELECT rate_date AS d FROM {clean['fx']} UNION ALL SELECT period_month FROM {clean['mob']} UNION ALL SELECT period_quarter FROM {clean['met']}),
 usd AS (SELECT * FROM {clean['fx']} WHERE currency_code = 'USD' ORDER BY rate_date DESC LIMIT 1),

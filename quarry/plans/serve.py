@@ -138,6 +138,20 @@ def indicator_pivot(fact_ind: DataFrame, dim_country: DataFrame, countries, code
     return pivot_series(f, "year", "country_name", F.first("value"), countries).orderBy("year")
 
 
+def ownership_series(fact_ind: DataFrame, dim_country: DataFrame, code: str = fv.OWNERSHIP_INDICATOR) -> DataFrame:
+    """One indicator's yearly series of every country, as ordered rows (country_name, year, value)."""
+    from quarry.operators.serving import series_by
+    return series_by(join_dim(fact_ind.filter(F.col("indicator_code") == code), dim_country, "country_iso3"), "country_name", "year", "value")
+
+
+def saturation_series(fact_mm: DataFrame, dim: DataFrame) -> DataFrame:
+    """Accounts against agents (thousands), month by month."""
+    from quarry.operators.serving import scale
+    return join_dim(fact_mm, dim, "date_key").select(
+        F.col("calendar_date").alias("month"), "registered_accounts_millions",
+        scale("active_agents", 1000.0).alias("active_agents_thousands")).orderBy("month")
+
+
 def saturation(fact_mm: DataFrame, dim: DataFrame) -> DataFrame:
     """Accounts against agents (thousands): first and last month of the series."""
     from quarry.operators.serving import first_last, scale
@@ -163,9 +177,12 @@ def quarantine_by_reason(quarantine: DataFrame) -> DataFrame:
     return count_by(quarantine, "reasons")
 
 
-def quarantine_sample(quarantine: DataFrame, n: int = 6) -> DataFrame:
+def quarantine_sample(quarantine: DataFrame, n: int = 6, payload_chars: int | None = None) -> DataFrame:
+    """The first ``n`` quarantined rows; ``payload_chars`` cuts the payload shown to so many characters."""
+    from quarry.functions.scalar import truncate
     from quarry.operators.serving import sample_rows
-    return sample_rows(quarantine.select("source", "reasons", "raw_payload", "_source_row_hash"),
+    payload = truncate("raw_payload", payload_chars).alias("raw_payload") if payload_chars else "raw_payload"
+    return sample_rows(quarantine.select("source", "reasons", payload, "_source_row_hash"),
                        ["reasons", "source", "_source_row_hash"], n)
 
 
