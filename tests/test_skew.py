@@ -61,3 +61,23 @@ def test_landing_dedups_a_hot_group_of_copies(spark):
 def test_adaptive_skew_join_is_on(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_top_n_of_a_hot_key_is_cut_before_the_exchange(spark):
+    """A key with a third of all rows sends n rows a task: the group limit stands below the exchange."""
+    from quarry.operators.serving import latest_n_per
+    df = spark.range(30_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None).cast("long")).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id") % 50).alias("k"),
+        (F.col("id") % 10).alias("v"), F.col("id"))
+    top = latest_n_per(df, ["k"], ["v", "id"], 3)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    first = plan.rindex("WindowGroupLimit")
+    assert plan.count("WindowGroupLimit") >= 3 and plan.rindex("Exchange hashpartitioning(k") < first
+    rows = {}
+    for r in top.collect():
+        rows.setdefault(r["k"], []).append((r["rank"], r["v"], r["id"]))
+    want = {}
+    for i in range(30_000):
+        want.setdefault(None if i % 3 == 0 else 7 if i % 3 == 1 else i % 50, []).append((i % 10, i))
+    assert {k: sorted(v) for k, v in rows.items()} == {
+        k: [(n + 1, *x) for n, x in enumerate(sorted(v, reverse=True)[:3])] for k, v in want.items()}
