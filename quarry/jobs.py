@@ -43,8 +43,8 @@ def land_all(spark: SparkSession, fx: str | None, indicator: str | None, mobile:
         paths = ["indicator.id", "indicator.value", "countryiso3code", "country.value", "date", "value",
                  "unit", "obs_status"]
         docs = spark.read.text(indicator, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-        # a request is known by its records' indicator, and a page without records by its file's name without page number
-        request = F.coalesce(F.get_json_object("value", "$[1][0].indicator.id"), F.regexp_replace("file", r"[0-9]+\.\w+$", ""))
+        # the pages of a request are files whose names differ in their number alone
+        request = F.regexp_replace("file", r"[0-9]+\.\w+$", "")
         assert_complete_pages(docs, request=request)
         return flatten_paged_json(docs, dict(zip(fv.INDICATOR_COLUMNS, paths)))
 
