@@ -3,7 +3,7 @@
 No piece of the model crosses a white-space marker (proved on the vocabulary first), so a text
 is cut before every run of markers, each distinct marked word is segmented once, and the ids
 are joined back by position. The table of distinct words belongs to a task and is bounded
-(:data:`quarry.llm.marked.CACHE_ENTRIES`); beyond that it starts anew, which costs time only.
+(:data:`quarry.llm.marked.CACHE_ENTRIES`): of its two generations the older goes, which costs time only.
 Decoding calls the library on the joined ids.
 
 Defined results: null counts as empty; an empty text has no ids and decodes to the empty text;

@@ -1,6 +1,7 @@
 """Token files: frequency-ranked ids in a byte-aligned variable-length code (operator 10).
 
-File format. A file is a Parquet container of blocks in ascending document order; a block holds
+File format. A folder holds ``blocks`` and ``ranks``, Parquet containers both, and is read by its path
+alone. A file of blocks has them in ascending document order; a block holds
 
 * ``doc_ids``, ``lengths``: the documents' ids and their numbers of tokens (end id included),
 * ``control``: two bits a token, four tokens a byte, low bits first: bytes of data less one,
@@ -8,7 +9,7 @@ File format. A file is a Parquet container of blocks in ascending document order
 * ``part``, ``offset``: the file part and the number of tokens before the block in it.
 
 Ranks come from the counts of all ids over all documents, most frequent first, so the commonest
-255 ids take one byte. The rank table (bounded by the vocabulary) is stored beside the blocks.
+256 ids take one byte. The rank table (a row for each id in use, bounded by the vocabulary) is ``ranks``.
 Decoding looks up the four lengths of each control byte in a 256-row table and gathers the data
 bytes with numpy, a block at a time.
 
@@ -27,7 +28,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -178,17 +178,11 @@ def decode_block(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 BLOCK = ("part int, offset long, n long, doc_ids array<long>, lengths array<int>, control binary, data binary")
+RANKS = "rank int, id long"
 
 
-@dataclass
-class TokenFiles:
-    """A folder of blocks and the rank table (ids by rank)."""
-    path: str
-    by_rank: list[int]
-
-
-def write_files(tokens: DataFrame, id_column: str, width: str, path: str, counts: dict[int, int]) -> TokenFiles:
-    """Write (id_column, ids, n) rows as token files in ascending order of ``id_column``."""
+def write_files(tokens: DataFrame, id_column: str, width: str, path: str, counts: dict[int, int]) -> str:
+    """Write (id_column, ids, n) rows as token files in ascending order of ``id_column``; returns ``path``."""
     by_rank = [i for i, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))]
     rank = np.zeros(max(by_rank, default=0) + 1, np.uint32)
     rank[by_rank] = np.arange(len(by_rank))
@@ -220,18 +214,21 @@ def write_files(tokens: DataFrame, id_column: str, width: str, path: str, counts
     ordered = tokens.select(F.col(id_column).cast("long").alias("doc_id"), "ids") \
         .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids") \
         .select("doc_id", "ids", F.spark_partition_id().alias("part"))
-    ordered.mapInArrow(blocks, BLOCK).write.option("compression", "zstd").parquet(path)
-    return TokenFiles(path, by_rank)
+    ordered.mapInArrow(blocks, BLOCK).write.option("compression", "zstd").parquet(f"{path}/blocks")
+    ranks = tokens.sparkSession.createDataFrame(list(enumerate(by_rank)), RANKS)
+    ranks.coalesce(1).write.parquet(f"{path}/ranks")
+    return path
 
 
-def read_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
-    """Per document of the files: doc_id, start, n_tokens, ids_crc32 and (lazily) ``ids``."""
-    return _decoded(spark, files, True)
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """Per document of the files at ``path``: doc_id, start, n_tokens, ids_crc32 and (lazily) ``ids``."""
+    return _decoded(spark, path, True)
 
 
-def _decoded(spark: SparkSession, files: TokenFiles, with_ids: bool) -> DataFrame:
-    blocks = spark.read.schema(BLOCK).parquet(files.path)
-    by_rank = np.array(files.by_rank, "<u4")
+def _decoded(spark: SparkSession, path: str, with_ids: bool) -> DataFrame:
+    blocks = spark.read.schema(BLOCK).parquet(f"{path}/blocks")
+    # the vocabulary at most
+    by_rank = np.array([r["id"] for r in spark.read.schema(RANKS).parquet(f"{path}/ranks").orderBy("rank").collect()], "<u4")
     extra = ", ids array<int>" if with_ids else ""
 
     def decode(batches):
@@ -264,8 +261,8 @@ def _decoded(spark: SparkSession, files: TokenFiles, with_ids: bool) -> DataFram
 
 
 def write_token_files(docs: DataFrame, id_column: str = "doc_id", text: str = "text", path: str | None = None,
-                      model: str | None = None) -> TokenFiles:
-    """Tokenize ``docs`` and write the files to ``path`` (default: a new scratch folder)."""
+                      model: str | None = None) -> str:
+    """Tokenize ``docs`` and write the files to ``path`` (default: a new scratch folder), which is returned."""
     model = model or vocabulary_path(MODEL)
     tokens = materialize(tokenize(docs.select(id_column, text), text, model)
                          .select(F.col(f"row.{id_column}").alias(id_column), "ids", "n"), "token-ids")
@@ -276,5 +273,5 @@ def write_token_files(docs: DataFrame, id_column: str = "doc_id", text: str = "t
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole ``documents`` to token files and back: start, number and crc32 of each document's ids."""
-    files = write_token_files(read_table(spark, sf_dir, "documents"))
-    return _decoded(spark, files, False)
+    path = write_token_files(read_table(spark, sf_dir, "documents"))
+    return _decoded(spark, path, False)

@@ -163,7 +163,8 @@ def test_model_check_refuses_inner_markers(pieces):
 def test_token_files(spark, rows):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     files = token_files.write_token_files(frame(spark, rows, extra=True))
-    got = [tuple(r) for r in token_files.read_files(spark, files).select("doc_id", "start", "n_tokens", "ids_crc32", "ids").collect()]
+    assert isinstance(files, str)       # the path alone is enough to read them, also for another session
+    got = [tuple(r) for r in token_files.read_files(spark.newSession(), files).select("doc_id", "start", "n_tokens", "ids_crc32", "ids").collect()]
     ids = {}
     for i, t in rows:
         ids.setdefault(i, []).append([*library.encode(t or "", add_special_tokens=False).ids, 2])
