@@ -8,8 +8,9 @@ the shift is zero, the bucket of that suffix block, split by the patterns' first
 candidates, and a direct comparison of the words confirms each.
 
 The benchmark is the stated query set. It is read on the driver in blocks of items of at most
-``block_bytes`` of text; each block is a broadcast of that bounded size, and a larger benchmark
-makes several passes that add to the same hit columns, without a shuffle of documents.
+``block_bytes`` of text; each block is a broadcast of that bounded size, its tables take about 180 bytes of
+a task's memory for each byte of text, and a larger benchmark makes several passes that add to the same
+hit columns. A pass is written before the next begins, so that one block's tables are in memory at a time.
 
 Defined results: null or empty texts have no words, no hits and the digest of the empty string;
 items without text or words match nothing; repeated items count once by their id; the windows of
@@ -24,10 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import annotate, read_table
+from quarry.llm.common import annotate, materialize, read_table
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 1 << 20
 
 #: Lower-cases A-Z; maps every byte that is neither a digit, a letter nor of a non-ASCII character to a space.
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20
@@ -162,6 +163,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
         if found is None:
             found = annotate(docs, text, HITS, make)
         else:       # the same rows again, with this block's hits added to what they have
+            found = materialize(found, "hits")
             again = annotate(found.select("*", F.col(f"row.`{text}`").alias("t")), "t", HITS, make)
             found = again.select("row.row", "n_words", F.concat("row.spans", "spans").alias("spans"),
                                  F.array_sort(F.array_union("row.items", "items")).alias("items"))
