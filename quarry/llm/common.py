@@ -38,7 +38,17 @@ def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFram
     df.write.option("compression", compression).parquet(path)
     del df
     release(spark)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what :func:`materialize` wrote for these frames, when no plan reads it any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:

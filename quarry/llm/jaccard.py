@@ -13,12 +13,15 @@ last, so a passage that many documents share enters no index as long as a docume
 else. Sets of at most six shingles are indexed whole, with their one-deletion neighbourhoods.
 
 Verification. Equal sets are one class from the start. Among documents that share a segment,
-each is first compared with the one document it shares most segments with (hub). Pairs that are
+each is first compared with the one document it shares most segments with (hub), then, in ROUNDS rounds,
+with the most central document of another component. Pairs that are
 still in different components must pass bounds that no link fails: sizes, the Hamming distance
 of 1024-bit parity sketches (never above the true difference), and for large sets, which index
 ell more keys than the pigeonhole needs, ell common keys instead of one. Every pair left is
-verified on the texts unless its components have met. So no link is lost, and no group emits its
-pairs. Segment groups are streams of sorted rows.
+verified on the texts unless its components have met. So no link is lost. Pairs of one component are
+never emitted, nor those the bounds exclude; of a key with members of several components
+that are alike but do not link, all pairs are counted, in blocks. A key's rows of that last step are
+held by one task (128 bytes and four numbers each); all other groups are streams of sorted rows.
 
 Node ids are document ids: rows with one doc_id are versions of one document. Defined results:
 null or empty texts have no shingles and link with nothing; rows without doc_id are reported
@@ -34,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialize, pieces, read_table
+from quarry.llm.common import discard, materialize, pieces, read_table
 from quarry.llm.graph import components
 
 SHINGLE = 5
@@ -53,6 +56,12 @@ SLICES = 16
 PARITY_BITS = 1024
 #: Distinct sets a task remembers so as not to index copies again.
 REMEMBERED = 200_000
+#: Rounds of comparisons with central documents, at most; what they leave open is counted exhaustively.
+ROUNDS = 2
+#: Tasks that the open keys of one smallest component are dealt to.
+SPREAD = 16
+#: Pairs that a task counts in memory, at most.
+PAIRS = 400_000
 #: Members of a hub that go to one group of the verification.
 HUB_MEMBERS = 256
 
@@ -309,8 +318,8 @@ def _bit(ids: np.ndarray, bits: int) -> np.ndarray:
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` that link. Hub a's text goes once to every group of at most about
     HUB_MEMBERS members; groups are streams of rows in which the hub's versions come first."""
-    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.greatest(
-        F.lit(1), F.ceil(F.count("*").over(_by("a")) / HUB_MEMBERS))))
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_MEMBERS).alias("parts")).where("parts > 1")
+    pairs = pairs.join(many, "a", "left").withColumn("salt", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1)))).drop("parts")
     members = pairs.join(texts, F.col("b") == F.col("doc_id")).select("a", "salt", "b", "text")
     hubs = pairs.select("a", "salt").distinct().join(texts, F.col("a") == F.col("doc_id")) \
         .select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
@@ -335,11 +344,6 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def _by(*columns):
-    from pyspark.sql import Window
-    return Window.partitionBy(*columns)
-
-
 def linked(x: np.ndarray, y: np.ndarray) -> bool:
     if not len(x) or not len(y):
         return False
@@ -347,15 +351,40 @@ def linked(x: np.ndarray, y: np.ndarray) -> bool:
     return WHOLE * both >= NEAR * (len(x) + len(y) - both)
 
 
-def _open_pairs(groups: DataFrame, labels: DataFrame, described: DataFrame) -> DataFrame:
-    """(a, b, ca, cb, shared): pairs with a common key whose components differ, whose sizes and parity
-    sketches allow a link, and which share as many keys of a band as a link must."""
-    own = groups.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+def _open_rows(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sig, id, component, lo) of the keys whose documents are in different components, ``lo`` the smallest."""
+    own = groups.join(labels, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("component"))
     open_keys = own.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo != hi").select("sig")
+        .where("lo != hi")
+    return own.join(open_keys.select("sig", "lo"), "sig")
+
+
+def _central_pairs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b), and the scratch table that it reads: for every document of the open rows one partner a key in another component, the most central
+    one, and of these the one it shares most keys with. A document is central if its keys are shared
+    by many: the text that a group of copies was made from rather than one of the copies. One row a
+    document and key: nothing here grows with the square of a group."""
+    size = rows.groupBy("sig").agg(F.count("*").alias("k"))
+    score = rows.join(size, "sig").groupBy("id").agg(F.sum("k").alias("score"))
+    scored = materialize(rows.select("sig", "id", "component").join(score, "id"), "jaccard-central")
+    top = F.max(F.struct("score", F.col("id").alias("hub"), "component")).alias("t")
+    first = scored.groupBy("sig").agg(top).select("sig", F.col("t.hub").alias("h1"), F.col("t.component").alias("c1"))
+    second = scored.join(first, "sig").where("component != c1").groupBy("sig").agg(top) \
+        .select("sig", F.col("t.hub").alias("h2"))
+    partner = F.when(F.col("component") != F.col("c1"), F.col("h1")).otherwise(F.col("h2")).alias("hub")
+    shared = scored.join(first, "sig").join(second, "sig").select("id", partner).groupBy("id", "hub").agg(F.count("*").alias("k"))
+    best = shared.groupBy("id").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
+    return best.select(F.col("hub").alias("a"), F.col("id").alias("b")), scored
+
+
+def _open_pairs(open_rows: DataFrame, described: DataFrame) -> DataFrame:
+    """(a, b, ca, cb, shared): pairs with a common key whose components differ, whose sizes and parity
+    sketches allow a link, and which share as many keys of a band as a link must.
+
+    The keys of one smallest component are dealt to SPREAD tasks, whatever their number: a pair with
+    hundreds of common keys is counted there and leaves a task once, not once a key."""
     sketches = described.where("n > 0 and doc_id is not null").select(F.col("doc_id").alias("id"), "n", "parity")
-    rows = own.join(open_keys, "sig").select("sig", "id", "component").join(sketches, "id") \
-        .select("sig", "id", "component", "n", "parity")
+    rows = open_rows.join(sketches, "id").select("sig", "id", "component", "n", "parity", "lo")
     names = ["a", "b", "ca", "cb", "na", "nb", "band", "shared"]
 
     def fitting(rows, i, j):
@@ -369,34 +398,61 @@ def _open_pairs(groups: DataFrame, labels: DataFrame, described: DataFrame) -> D
         return i[ok], j[ok]
 
     def pairs(rows):
-        """Fitting pairs of whole groups of sorted rows: of small groups by shifting all rows at once,
-        of large ones in blocks."""
-        sig = rows[0]
+        """Tables of the fitting pairs of whole groups of sorted rows: of small groups by shifting all rows at
+        once, of large ones in blocks; none grows beyond PAIRS and a block."""
+        sig, ids, component, n, _ = rows
         cuts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         size = np.diff(np.append(cuts, len(sig)))
         small = np.repeat(size <= 16, size)
-        found = []
-        for k in range(1, min(16, int(size.max()))):
-            i = np.flatnonzero(small[:-k] & (sig[:-k] == sig[k:]))
-            found.append(fitting(rows, i, i + k))
-        for start, count in zip(cuts[size > 16], size[size > 16]):
-            for x in range(0, count, 512):
-                for y in range(x, count, 512):
-                    i, j = np.meshgrid(np.arange(x, min(x + 512, count)), np.arange(y, min(y + 512, count)), indexing="ij")
-                    ahead = i < j
-                    found.append(fitting(rows, start + i[ahead], start + j[ahead]))
-        i, j = [np.concatenate(c) for c in zip(*found)] if found else (np.zeros(0, int), np.zeros(0, int))
-        _, ids, component, n, _ = rows
-        flip = ids[i] > ids[j]
-        i, j = np.where(flip, j, i), np.where(flip, i, j)
-        return np.column_stack([ids[i], ids[j], component[i], component[j], n[i], n[j], sig[i] & 63]).astype(np.int64)
-
-    def counted(table):
-        rows, count = np.unique(table, axis=0, return_counts=True) if len(table) else (table, np.zeros(0, np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(rows[:, k]) for k in range(7)] + [pa.array(count.astype(np.int64))], names=names)
+        found, total = [], 0
+
+        def table():
+            i, j = [np.concatenate(c) for c in zip(*found)]
+            flip = ids[i] > ids[j]
+            i, j = np.where(flip, j, i), np.where(flip, i, j)
+            return np.column_stack([ids[i], ids[j], component[i], component[j], n[i], n[j], sig[i] & 63]).astype(np.int64)
+
+        def candidates():
+            for k in range(1, min(16, int(size.max()))):
+                i = np.flatnonzero(small[:-k] & (sig[:-k] == sig[k:]))
+                yield i, i + k
+            for start, count in zip(cuts[size > 16], size[size > 16]):
+                for x in range(0, count, 512):
+                    for y in range(x, count, 512):
+                        i, j = np.meshgrid(np.arange(x, min(x + 512, count)), np.arange(y, min(y + 512, count)), indexing="ij")
+                        ahead = i < j
+                        yield start + i[ahead], start + j[ahead]
+
+        for i, j in candidates():
+            found.append(fitting(rows, i, j))
+            total += len(found[-1][0])
+            if total > PAIRS:
+                yield table()
+                found, total = [], 0
+        if total:
+            yield table()
+
+    def merged(parts):
+        """Distinct pairs (with the band of their keys) and how many keys they have met in."""
+        table = np.concatenate(parts)
+        rows, place = np.unique(table[:, :7], axis=0, return_inverse=True)
+        return np.column_stack([rows, np.bincount(place.reshape(-1), table[:, 7], len(rows)).astype(np.int64)])
+
+    def batch_of(table):
+        return pa.RecordBatch.from_arrays([pa.array(table[:, k]) for k in range(8)], names=names)
 
     def run(batches):
-        held = None
+        held, parts = None, [np.zeros((0, 8), np.int64)]
+
+        def met(table):
+            parts.append(np.column_stack([table, np.ones(len(table), np.int64)]))
+            if sum(map(len, parts)) > PAIRS:
+                parts[:] = [merged(parts)]
+                if len(parts[0]) > PAIRS // 2:
+                    full = batch_of(parts[0])
+                    parts[:] = [np.zeros((0, 8), np.int64)]
+                    return full
+
         for b in batches:
             if not b.num_rows:
                 continue
@@ -405,11 +461,14 @@ def _open_pairs(groups: DataFrame, labels: DataFrame, described: DataFrame) -> D
             if held is not None:
                 rows = tuple(np.concatenate(c) for c in zip(held, rows))
             whole = int(np.searchsorted(rows[0], rows[0][-1]))      # the last group may go on
-            if whole:
-                yield counted(pairs(tuple(c[:whole] for c in rows)))
+            for table in pairs(tuple(c[:whole] for c in rows)) if whole else ():
+                if full := met(table):
+                    yield full
             held = tuple(c[whole:] for c in rows)
-        if held is not None:
-            yield counted(pairs(held))
+        for table in pairs(held) if held is not None else ():
+            if full := met(table):
+                yield full
+        yield batch_of(merged(parts))
 
     def size_of_index(n):
         high = F.get(F.array(*[F.lit(h) for _, _, h in BANDS]), F.col("band").cast("int"))
@@ -419,7 +478,8 @@ def _open_pairs(groups: DataFrame, labels: DataFrame, described: DataFrame) -> D
 
     least = F.when(F.col("band") >= len(BANDS), 1).otherwise(
         F.least(size_of_index(F.col("na")), size_of_index(F.col("nb"))) - F.floor((F.col("na") + F.col("nb")) / 7))
-    counts = rows.repartition("sig").sortWithinPartitions("sig", "id").mapInArrow(run, ", ".join(f"{c} long" for c in names)) \
+    spread = F.pmod(F.shiftright("sig", 6), F.lit(SPREAD))
+    counts = rows.repartition("lo", spread).sortWithinPartitions("sig", "id").drop("lo").mapInArrow(run, ", ".join(f"{c} long" for c in names)) \
         .groupBy(names[:-1]).agg(F.sum("shared").alias("shared"))
     return counts.where(F.col("shared") >= least).groupBy("a", "b", "ca", "cb").agg(F.max("shared").alias("shared"))
 
@@ -440,7 +500,22 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     links = materialize(_verify(hubs.select(F.col("hub").alias("a"), F.col("id").alias("b")), texts)
                         .unionAll(same), "jaccard-links")
     labels = materialize(components(links), "jaccard-components")
-    pairs = materialize(_open_pairs(groups, labels, rows), "jaccard-open")
+    # linear rounds: each document with the most central partner of another component; groups of near
+    # copies whose hub was one of the copies come together here
+    for turn in range(ROUNDS + 1):
+        open_rows = materialize(_open_rows(groups, labels), "jaccard-rows")
+        if turn == ROUNDS:
+            break
+        central, scored = _central_pairs(open_rows)
+        found = materialize(_verify(central, texts), "jaccard-round")
+        discard(scored)
+        if found.isEmpty():
+            break
+        discard(open_rows)
+        links = links.unionAll(found)
+        labels = materialize(components(links), "jaccard-components")
+    pairs = materialize(_open_pairs(open_rows, rows), "jaccard-open")
+    discard(groups, open_rows)
     # first every document with the likeliest partner in each other component, which joins most of
     # them; then exhaustively all pairs that are still open
     first = pairs.groupBy("a", "cb").agg(F.max_by("b", F.struct("shared", "b")).alias("b")).select("a", "b") \
@@ -454,6 +529,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     found = materialize(_verify(rest, texts), "jaccard-rest")
     if not found.isEmpty():
         labels = materialize(components(links.unionAll(found)), "jaccard-components")
+    discard(texts, pairs, found)
     return rows.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
