@@ -57,7 +57,7 @@ PARITY_BITS = 1024
 #: Distinct sets a task remembers so as not to index copies again.
 REMEMBERED = 200_000
 #: Rounds of comparisons with central documents, at most; what they leave open is counted exhaustively.
-ROUNDS = 2
+ROUNDS = 1
 #: Tasks that the open keys of one smallest component are dealt to.
 SPREAD = 16
 #: Pairs that a task counts in memory, at most.
