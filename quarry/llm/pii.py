@@ -14,9 +14,8 @@ Trees. Candidates that overlap a base span or pass the rule are positive example
 unlabelled and count against the precision, so it is a lower bound. Boosted trees learn them from format (lengths, groups, separators, characters beside the span)
 and context (cue words before it), without the features that the base checks test. A threshold
 is calibrated on held-out candidates for a precision of at least ``PRECISION``; candidates above
-it that overlap no base span of the kind are added. Base spans always stay. The fit uses a
-sample of at most ``SAMPLE`` candidates of each kind (the smallest hashes); everything else
-covers all texts.
+it that overlap no base span of the kind are added. Base spans always stay. Trees and thresholds
+are made from every candidate of all texts, counted by Spark: one half fits, the other is held out.
 
 Defined results: null counts as empty and has no spans; repeated rows agree; an empty table
 gives no rows; a text of any length is searched whole. A private-use character that serves as
@@ -25,15 +24,13 @@ the mark may occur in a text: it is no part of any pattern and is replaced first
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import boosting
-from quarry.llm.common import materialize, read_table
+from quarry.llm.common import discard, materialize, read_table
 
 KINDS = ["email", "ip", "card", "phone"]
-SAMPLE = 20_000
 PRECISION = 0.98
 MARK, OTHER_MARK = "\ue000", "\ue001"
 BLOCK = 512
@@ -153,22 +150,23 @@ def find_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.select("row", "base", F.expr(f"concat({', '.join(wide)})").alias("wide"))
 
 
-def fit_models(found: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> dict[int, tuple]:
-    """{kind number: (trees, threshold)} from at most ``sample`` candidates of each kind; half of them
-    are held out for the threshold. A kind without a threshold of that precision has no entry."""
+def fit_models(found: DataFrame, sample: int | None = None, precision: float = PRECISION) -> dict[int, tuple]:
+    """{kind number: (trees, threshold)} from every candidate; half of them are held out for the
+    threshold. A kind without a threshold of that precision has no entry. ``sample`` bounded the
+    candidates once; callers may still give it, and it changes nothing."""
     rows = found.where(F.size("wide") > 0).select(F.explode("wide").alias("w"))
-    rows = rows.select(F.col("w.kind").cast("double").alias("kind"), F.expr("w.hit or w.rule").cast("double").alias("hit"),
-                       *[f"w.{k}" for k in FEATURES], F.xxhash64("w", F.monotonically_increasing_id()).alias("_order"))
+    rows = rows.select("w.kind", F.expr("w.hit or w.rule").cast("long").alias("hit"), *[f"w.{k}" for k in FEATURES])
+    cuts = boosting.quantile_cuts(rows, list(FEATURES))
+    if not cuts:
+        return {}
+    cells = materialize(boosting.counted(rows, list(FEATURES), cuts), "pii-cells")
+    fitted, scored = boosting.fit_all(cells, cuts, trees=20)
     models = {}
-    for kind in range(len(KINDS)):
-        own = boosting.bounded_sample(rows.where(F.col("kind") == kind), sample)
-        train, held = own[::2], own[1::2]
-        if not len(held):
-            continue
-        model = boosting.fit(train[:, 2:], train[:, 1], trees=20)
-        limit = boosting.threshold_for_precision(model.predict(held[:, 2:]), held[:, 1], precision)
-        if limit is not None and model.trees:
-            models[kind] = (model, limit)
+    for kind, counts in boosting.score_counts(scored).items():
+        limit = boosting.threshold_for_precision(counts[:, 0], counts[:, 2], precision, rows=counts[:, 1])
+        if limit is not None:
+            models[kind] = (fitted[kind], limit)
+    discard(*([cells, scored] if fitted else [cells]))
     return models
 
 

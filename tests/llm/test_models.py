@@ -117,6 +117,34 @@ def test_a_rare_kind_gets_its_own_sample(spark):
     assert 1 in pii.fit_models(pii.find_candidates(frame(spark, rows)).persist(), sample=1000)
 
 
+def test_models_come_from_every_candidate(spark):
+    """No bound on candidates, and neither their order nor their partitions matter."""
+    rows = [(i, f"lot {10 ** 9 + i * 7919} in stock" if i % 8 else f"call me: +1 (212) 555-{1000 + i} soon") for i in range(4000)]
+    found = pii.find_candidates(frame(spark, rows)).persist()
+    models = pii.fit_models(found)
+    assert 3 in models and models == pii.fit_models(found.repartition(3), sample=60)
+
+
+def test_boosting_of_all_rows_is_that_of_the_matrix(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "WRITTEN_TREES", 3)
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 12, size=(4000, 3)).astype(float)
+    y = ((x[:, 0] > 5) ^ (x[:, 1] > 7) ^ (rng.random(4000) < 0.05)).astype(int)
+    df = spark.createDataFrame([(7, int(b), *map(float, a)) for a, b in zip(x, y)] + [(8, 1, 0.0, 0.0, 0.0)] * 3,
+                               "kind int, hit int, a double, b double, c double")
+    cuts = boosting.quantile_cuts(df, ["a", "b", "c"])
+    cells = boosting.counted(df, ["a", "b", "c"], cuts).persist()
+    n, hits, held, held_hits = cells.where("kind = 7").agg(*[F.sum(c) for c in ("n", "hits", "held_n", "held_hits")]).first()
+    assert n + held == 4000 and hits + held_hits == y.sum() and abs(n - held) < 300
+    # both halves as one, as the matrix has them
+    whole = cells.withColumn("n", F.col("n") + F.col("held_n")).withColumn("hits", F.col("hits") + F.col("held_hits"))
+    models, scored = boosting.fit_all(whole, cuts, trees=4)
+    assert set(models) == {7}
+    assert np.allclose(models[7].predict(x), boosting.fit(x, y.astype(float), trees=4).predict(x), atol=1e-4)
+    counts = boosting.score_counts(scored)[7]
+    assert counts[:, 1].sum() == held and counts[:, 2].sum() == held_hits
+
+
 def test_redaction(spark):
     rows = PERSONAL[:6] + [(50, None), (51, ""), (52, "nothing")]
     out = {r["doc_id"]: r["text"] for r in pii.redact(frame(spark, rows, extra=True)).collect()}
