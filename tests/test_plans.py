@@ -57,3 +57,10 @@ def test_no_query_plans_cross_joins_or_stray_python(spark):
         assert "Window" not in p, name
         has_python = any(k in p for k in ("MapInPandas", "MapInArrow", "ArrowEvalPython", "BatchEvalPython", "PythonUDF"))
         assert has_python == (name in python_ok), name
+
+
+def test_small_files_are_dealt_out_before_costly_work(spark):
+    """A small file is one split: the pages and documents made of it are parsed and written by all cores."""
+    cores = spark.sparkContext.defaultParallelism
+    assert A.html_pages(spark, SF).rdd.getNumPartitions() >= cores
+    assert "RoundRobinPartitioning" in plan(A.html_rows(spark, SF))
