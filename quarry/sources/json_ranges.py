@@ -30,6 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bytes of a chunk, about (text without any ``}`` is one piece, however long).
 CHUNK_BYTES = 8 << 20
+#: Bytes of text after which a task hands on what it has found.
+BATCH_BYTES = 4 << 20
 QUOTE, BACKSLASH, COMMA = b'"'[0], b"\\"[0], b","[0]
 
 
@@ -83,6 +85,10 @@ def cut(raw: bytes, inside: bool, depth: int):
     return openings, members, int(comma.sum())
 
 
+def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+
 def chunk_table(spark: SparkSession, path, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The files at ``path`` as chunks with their summaries, written to the shared folder."""
     rows = spark.read.option("lineSep", "}").text(path).select(
@@ -94,23 +100,29 @@ def chunk_table(spark: SparkSession, path, chunk_bytes: int = CHUNK_BYTES) -> Da
 
     def run(batches):
         place, number, held, total = None, 0, [], 0
+        found, found_bytes = [], 0
 
         def chunk():
             text = b"}".join(held) + b"}"
-            values = (place[0], place[1], number, place[2], total, *summary(np.frombuffer(text, np.uint8)), text)
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names=names)
+            return (place[0], place[1], number, place[2], total, *summary(np.frombuffer(text, np.uint8)), text)
 
         for batch in batches:
             for *where, piece in zip(*[c.to_pylist() for c in batch.columns]):
                 if where != place or total >= chunk_bytes:
                     if held:
-                        yield chunk()
+                        found.append(chunk())
+                        found_bytes += total
+                    if found_bytes >= BATCH_BYTES:
+                        yield _batch(found, names, types)
+                        found, found_bytes = [], 0
                     number = number + 1 if where == place else 0
                     place, held, total = where, [], 0
                 held.append(piece)
                 total += len(piece) + 1
         if held:
-            yield chunk()
+            found.append(chunk())
+        if found:
+            yield _batch(found, names, types)
 
     return scratch_table(rows.mapInArrow(run, schema), "json-chunks")
 
@@ -138,18 +150,24 @@ def _pieces(chunks: DataFrame) -> DataFrame:
         .select("path", "start", "chunk", "text", "inside", "depth", "unended")
     types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
 
+    names = [c.split()[0] for c in PIECE.split(", ")]
+
     def run(batches):
         for batch in batches:
+            found, found_bytes = [], 0
             for i in range(batch.num_rows):
                 path, start, chunk, text, inside, depth, unended = [c[i].as_py() for c in batch.columns]
                 openings, members, commas = cut(text[:-1] if unended else text, inside, depth)
                 rows = [("open", c, deep, letter, None, None) for c, deep, letter in openings]
                 rows += [("member", c, None, t.decode(errors="replace"), b, e) for c, t, b, e in members]
                 rows.append(("total", commas, None, None, None, None))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v] * len(rows), t) for v, t in zip((path, start, chunk), types)]
-                    + [pa.array(range(len(rows)), pa.int32())]
-                    + [pa.array(c, t) for c, t in zip(zip(*rows), types[4:])], names=[c.split()[0] for c in PIECE.split(", ")])
+                found += [(path, start, chunk, seq, *row) for seq, row in enumerate(rows)]
+                found_bytes += len(text)
+                if found_bytes >= BATCH_BYTES:
+                    yield _batch(found, names, types)
+                    found, found_bytes = [], 0
+            if found:
+                yield _batch(found, names, types)
 
     return placed.mapInArrow(run, PIECE)
 

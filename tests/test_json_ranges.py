@@ -81,3 +81,14 @@ def test_quotes_and_depths_of_every_cut():
             a, b = J.summary(data[:k]), J.summary(data[k:])
             assert whole[0] == (a[0] != b[0]) and whole[1] == a[1] + (b[2] if a[0] else b[1])
         assert whole[:2] == (False, 0)
+
+
+def test_many_small_chunks_are_handed_on_together(spark, monkeypatch):
+    """Chunks go on in batches of about ``BATCH_BYTES``, and a bound that cuts between any two loses none."""
+    folder = tempfile.mkdtemp()
+    with open(os.path.join(folder, "a.json"), "w") as f:
+        f.write('[{"page": 1}, [' + ", ".join(json.dumps({"k": str(i), "v": "}]" * (i % 5)}) for i in range(500)) + "]]")
+    for bound in (1, 1000, 4 << 20):
+        monkeypatch.setattr(J, "BATCH_BYTES", bound)
+        rows = J.read_paged_ranges(spark, folder, {"k": "k", "v": "v"}, chunk_bytes=60).collect()
+        assert sorted((int(r["k"]), r["v"]) for r in rows) == [(i, "}]" * (i % 5)) for i in range(500)]
