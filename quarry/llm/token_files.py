@@ -28,9 +28,11 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,13 +42,14 @@ from quarry.llm.common import Remembered, annotate, materialize, pieces, read_ta
 MODEL = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
-#: Distinct words (letter parts) that a worker remembers, in each of two generations; longer ones
-#: are not kept. About 200 bytes an entry.
-CACHE_ENTRIES, CACHE_PARTS = 800_000, 500_000
+#: Distinct words (letter parts) that a worker process remembers from task to task, in each of two
+#: generations; longer ones are not kept. About 200 bytes an entry.
+CACHE_ENTRIES, CACHE_PARTS = 300_000, 250_000
 CACHE_BYTES = 64
 WORD_END = "</w>"
 #: Lower-case letters that normalizing leaves alone, and marks behind them without an apostrophe.
-PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,;:!?()\\[\\]|#$%&*-]*)")
+#: Of lines of one word each; any other word is the third group.
+PLAIN = re.compile("^(?:([a-zß-öø-ÿ]+)([.,;:!?()\\[\\]|#$%&*-]*)|(.+))$", re.M)
 
 
 class WordTable:
@@ -73,10 +76,11 @@ class WordTable:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _words(self, words: list[bytes]) -> list[bytes]:
-        split = [PLAIN.fullmatch(w.decode().lower()) for w in words]
-        parts = self.parts.know({p for m in split if m for p in m.groups() if p})
-        other = iter(self._library([w.decode() for w, m in zip(words, split) if not m]))
-        return [(parts[m[1]] + (parts[m[2]] if m[2] else b"")) if m else next(other) for m in split]
+        split = PLAIN.findall(b"\n".join(words).decode().lower())          # no word has a line break
+        parts = self.parts.know({p for m in split for p in m[:2] if p})
+        other = iter(self._library([w.decode() for w, m in zip(words, split) if m[2]]))
+        return [next(other) if more else parts[letters] + parts[marks] if marks else parts[letters]
+                for letters, marks, more in split]
 
     def _parts(self, parts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -85,26 +89,45 @@ class WordTable:
             ids = np.array(self.library.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(own):
-                out += [x.tobytes() for x in np.split(ids, cuts[:-1])]
+                coded, ends = ids.tobytes(), (cuts * 4).tolist()
+                out += [coded[a:b] for a, b in zip([0, *ends], ends)]
             else:               # a vocabulary without word ends
                 out += self._library(own)
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = {i: ids for i, ids in self._whole(texts)}
-        words = [[] if i in whole else t.encode().lower().split() for i, t in enumerate(texts)]
-        asked = set().union(*words)
-        long = [w for w in asked if len(w) > CACHE_BYTES]
-        table = self.words.know(asked.difference(long))
-        if long:
-            table = table | dict(zip(long, self._words(long)))
-        return [whole[i] if i in whole else b"".join(map(table.__getitem__, w)) for i, w in enumerate(words)]
+        plain = pa.array(["" if i in whole else t for i, t in enumerate(texts)], pa.string())
+        words = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+        coded = pc.dictionary_encode(words.flatten())           # each distinct word of these texts once
+        distinct = self._known(coded.dictionary.cast(pa.binary()).to_pylist())
+        ids = np.frombuffer(b"".join(distinct), "<u4")
+        lengths = np.array([len(x) for x in distinct], np.int64) // 4
+        which = coded.indices.to_numpy()
+        n = lengths[which]
+        end = np.append(0, np.cumsum(n))
+        out = ids[np.repeat((np.cumsum(lengths) - lengths)[which] - end[:-1], n) + np.arange(end[-1])]
+        cuts = end[words.offsets.to_numpy()].tolist()
+        return [whole[i] if i in whole else out[a:b].tobytes() for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+
+    def _known(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words (and of the empty string, which is none)."""
+        long = [w for w in words if len(w) > CACHE_BYTES]
+        table = self.words.know({w for w in words if w}.difference(long))
+        own = dict(zip(long, self._words(long))) if long else {}
+        return [(own if len(w) > CACHE_BYTES else table)[w] if w else b"" for w in words]
 
     def _whole(self, texts):
         at = [i for i, t in enumerate(texts) if self.added.search(t)]
         return zip(at, self._library([texts[i] for i in at]))
 
 
+@lru_cache(maxsize=1)
+def word_table(path: str) -> WordTable:
+    """The table of this worker process: its next task starts with the words that earlier ones met."""
+    return WordTable(path)
+
+
 def tokenize(docs: DataFrame, text: str = "text", path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """``docs`` as struct ``row`` with ``ids``: binary of unsigned 16-bit ids (32-bit if
     the vocabulary is larger), the end id last, and their number ``n``."""
@@ -112,7 +135,7 @@ def tokenize(docs: DataFrame, text: str = "text", path: str | None = None, end_i
     width = id_type(path)
 
     def make():
-        table, end = WordTable(path), np.array([end_id], "<u4").tobytes()
+        table, end = word_table(path), np.array([end_id], "<u4").tobytes()
 
         def fn(texts):
             ids = [np.frombuffer(x + end, "<u4") for x in table.encode([t or "" for t in texts])]

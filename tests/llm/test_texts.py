@@ -186,6 +186,18 @@ def test_code_round_trip():
         assert (token_files.decode_block(control, data, n) == ranks).all()
 
 
+def test_a_worker_encodes_no_word_twice(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["Ein Wort, noch ein Wort! x@y.com", "\u00c9t\u00e9 \x1c\u0130 " + "long" * 30, "", " \t\n", "<|endoftext|> after"]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert token_files.word_table(path).encode(texts) == want
+    asked, table = [], token_files.word_table(path)         # as the next task of this worker gets it
+    monkeypatch.setattr(table.words, "compute", lambda words: asked.extend(words) or table._words(words))
+    assert table.encode(texts) == want and table.encode([]) == []
+    assert asked == []
+
+
 def test_token_files_of_nothing(spark):
     files = token_files.write_token_files(frame(spark, []))
     assert token_files.read_files(spark, files).count() == 0
