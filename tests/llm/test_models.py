@@ -247,6 +247,35 @@ def test_gradients_and_learning():
     assert after < 0.7 * loss
 
 
+def test_gradients_follow_the_loss_for_plain_and_large_logits():
+    model, inputs, outputs, _ = small_model()
+    rng = np.random.default_rng(6)
+    x = rng.integers(-1, 12, (5, attention.LENGTH))
+    x[:, attention.CONTEXT:] = np.abs(x[:, attention.CONTEXT:])
+    x[0] = attention.PAD                                        # nothing to look at
+    t, weight = rng.integers(0, 6, (5, attention.SCORED)), rng.integers(0, 2, (5, attention.SCORED))
+    for scale in (1, 40):
+        model = model | {"out": model["out"] * scale, "q": model["q"] * scale}
+        loss, grads = attention.gradients(model, x, t, weight)
+        assert np.isfinite(loss) and all(np.isfinite(g).all() and g.shape == model[k].shape for k, g in grads.items())
+    model = {k: v.astype(float) for k, v in small_model()[0].items()}
+    loss, grads = attention.gradients(model, x, t, weight)
+    for name, at in (("emb", (3, 1)), ("emb", (12, 2)), ("pos", (5, 0)), ("k", (2, 3)), ("bias", (4,)), ("b1", (1,))):
+        step = {k: v.copy() for k, v in model.items()}
+        step[name][at] += 1e-4
+        assert (attention.gradients(step, x, t, weight)[0] - loss) / 1e-4 == pytest.approx(grads[name][at], abs=2e-3)
+
+
+def test_a_worker_cuts_no_word_twice(monkeypatch):
+    path = lm_scoring.vocabulary_path(lm_scoring.MODEL)
+    words = [lm_scoring.words_of("one two three " + "long" * 30)]
+    want = [lm_scoring.worker_pieces(path).of(words)(w) for w in words[0]]
+    asked, table = [], lm_scoring.worker_pieces(path)           # as the next task of this worker gets it
+    monkeypatch.setattr(table.words, "compute", lambda found: asked.extend(found) or table._cut(found))
+    again = table.of(words)
+    assert [again(w) for w in words[0]] == want and asked == []
+
+
 def test_model_beats_its_own_start_on_held_out_documents(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = lm_scoring.score(docs).where("held_out").agg(F.sum("score"), F.sum("n_pieces")).first()
