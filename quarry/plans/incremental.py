@@ -36,7 +36,7 @@ from quarry.operators.dedup import CLEAN, COPIES, FAILED, STATUS, version_hash
 from quarry.operators.landing import HASH, payload_columns, utc_now
 from quarry.operators.quarantine import RAW, to_quarantine
 from quarry.plans.silver import SourceDef, checked, classify, resolved
-from quarry.session import ensure_warehouse, scratch_table
+from quarry.session import discard, ensure_warehouse, release, scratch_table
 
 #: Parts of versions and of failed rows of a new table.
 PARTS, FAILED_PARTS = 64, 16
@@ -190,23 +190,30 @@ def update_silver(spark: SparkSession, sdef: SourceDef, as_of: dt.date | None =
         fresh = fresh.unionByName(failed.select(f"{RAW}.*", *meta).select(*[F.col(f"`{c}`") for c in columns]))
     rows = checked(fresh, sdef, as_of).withColumn("_n", F.lit(1).cast("long"))
     place = part_of(rows, list(sdef.key), parts, failed_parts)
+    fresh_rows = None
     if not reset:
-        rows = scratch_table(rows.withColumn("_part", place), "silver-new")
+        rows = fresh_rows = scratch_table(rows.withColumn("_part", place), "silver-new")
         touched = {r[0] for r in rows.select("_part").distinct().collect()}         # as many as there are parts
         rows = rows.drop("_part")
         old = read_parts(spark, sdef.silver_table, {p: run for p, (run, _) in now.items() if p in touched and p not in again})
         if old is not None:
             old = old.withColumn(REASONS, F.when(F.col(STATUS) == FAILED, F.col(REASONS))).withColumn("_n", F.col(COPIES))
             rows = rows.unionByName(old.select(*rows.columns))
-    out = resolved(rows, sdef, weight="_n")
+    # by key, and the rows of a part in few tasks: they move once, and are written as they come
+    out = resolved(rows, sdef, weight="_n", by_key=True, within=part_of(rows, list(sdef.key), parts, failed_parts))
     out = out.withColumn("_built_at", F.lit(built_at).cast("timestamp_ntz")) \
         .withColumn("_part", part_of(out, list(sdef.key), parts, failed_parts))
     run_id = max(time.time_ns(), last["run_id"] + 1 if last else 0)
     folder = f"{state_folder(spark, sdef.silver_table)}/_run={run_id}"
-    # parts are dealt out whole where they are small; a part that a hot key fills is split among tasks
-    out.hint("rebalance", F.col("_part")).write.partitionBy("_part").parquet(folder)
+    release(spark)
+    out.write.partitionBy("_part").parquet(folder)
+    narrow = T.StructType([f for f in out.schema.fields if f.name in (STATUS, COPIES, "_part")])
+    del out, rows
+    if fresh_rows is not None:
+        discard(fresh_rows)
+    release(spark)
     s = F.col(STATUS)
-    stored = spark.read.schema(T.StructType([f for f in out.schema.fields if f.name in (STATUS, COPIES, "_part")])).parquet(folder)
+    stored = spark.read.schema(narrow).parquet(folder)
     counts = stored.groupBy("_part").agg(
         F.sum(COPIES).alias("rows_in"), F.count_if(s == CLEAN).alias("rows_clean"), F.count_if(s != CLEAN).alias("rows_quarantined"),
         (F.sum(COPIES) - F.count(F.lit(1))).alias("rows_deduped"))
